@@ -51,7 +51,8 @@ def with_names(
     """
     distinct = rows.groupBy(*keys, *names).agg(F.max(ordered_by).alias("__newest"))
     if policy == "max":
-        picked = [F.max(n).alias(n) for n in names]
+        # Not max(n): under a duplicate-insensitive aggregate Catalyst would drop the step above.
+        picked = [F.max_by(n, n).alias(n) for n in names]
     elif policy == "latest":
         order = lambda n: F.when(F.col(n).isNotNull(), F.struct("__newest", n))
         picked = [F.max_by(n, order(n)).alias(n) for n in names]

@@ -179,11 +179,12 @@ class Suite:
     unique: dict[str, Sequence[str]] = field(default_factory=dict)
     other: dict[str, DataFrame] = field(default_factory=dict)
 
-    def failing(self) -> dict[str, DataFrame]:
-        """Every test as the DataFrame of its failing rows."""
-        found = {f"{self.table}.{name}": self.df.filter(p) for name, p in self.rows.items()}
-        found |= {f"{self.table}.{name}": check_unique(self.df, *cols) for name, cols in self.unique.items()}
-        return found | {f"{self.table}.{name}": df for name, df in self.other.items()}
+    def single(self) -> dict[str, DataFrame]:
+        """The failing rows of the tests that need a plan of their own."""
+        return {name: check_unique(self.df, *cols) for name, cols in self.unique.items()} | self.other
+
+    def names(self) -> list[str]:
+        return [*self.rows, *self.unique, *self.other]
 
 
 def run_checks(suites: Sequence[Suite]) -> DataFrame:
@@ -197,8 +198,7 @@ def run_checks(suites: Sequence[Suite]) -> DataFrame:
                 for n in suite.rows
             ]
             parts.append(counted.select(F.inline(F.array(*pairs))))
-        single = {n: check_unique(suite.df, *cols) for n, cols in suite.unique.items()} | suite.other
-        for name, failing in single.items():
+        for name, failing in suite.single().items():
             parts.append(
                 failing.agg(F.count("*").alias("failures")).select(
                     F.lit(f"{suite.table}.{name}").alias("test"), "failures"
@@ -222,11 +222,28 @@ def quality_gate(summary: DataFrame) -> None:
         raise QualityGateError(failed)
 
 
-def store_failures(suites: Sequence[Suite], root: str) -> dict[str, str]:
-    """Write each test's failing rows to ``<root>/<test>``; returns test -> path."""
-    paths = {}
+ROW_TESTS = "row_tests"
+
+
+def store_failures(suites: Sequence[Suite], root: str) -> None:
+    """Write the failing rows of every test below ``root``.
+
+    All row-level tests of a table share one scan and one folder, ``<table>/row_tests/test=<name>``; a
+    row that fails several tests is stored under each.  Other tests get ``<table>/<name>``.
+    """
     for suite in suites:
-        for name, failing in suite.failing().items():
-            paths[name] = f"{root}/{name.replace('.', '__')}"
-            failing.write.mode("overwrite").parquet(paths[name])
-    return paths
+        if suite.rows:
+            failed = F.array_compact(F.array(*[F.when(p, name) for name, p in suite.rows.items()]))
+            failing = suite.df.withColumn("test", F.explode(failed))
+            failing.write.mode("overwrite").partitionBy("test").parquet(f"{root}/{suite.table}/{ROW_TESTS}")
+        for name, failing in suite.single().items():
+            failing.write.mode("overwrite").parquet(f"{root}/{suite.table}/{name}")
+
+
+def read_failures(suite: Suite, root: str, name: str) -> DataFrame:
+    """The stored failing rows of one test."""
+    reader, base = suite.df.sparkSession.read, f"{root}/{suite.table}"
+    if name not in suite.rows:
+        return reader.parquet(f"{base}/{name}")
+    schema = suite.df.withColumn("test", F.lit("")).schema
+    return reader.schema(schema).parquet(f"{base}/{ROW_TESTS}").filter(F.col("test") == name).drop("test")

@@ -14,7 +14,7 @@ from ..schemas import EXCLUDED_EVENT_TYPES, QUALITY_COLUMNS
 
 def quality_filter(df: DataFrame, columns: Sequence[str] = QUALITY_COLUMNS) -> DataFrame:
     """Keep rows whose identifying columns are all present."""
-    return df.dropna(subset=list(columns))
+    return entity_not_null(df, *columns)
 
 
 def exclude_event_types(df: DataFrame, excluded: Sequence[str] = EXCLUDED_EVENT_TYPES) -> DataFrame:
@@ -22,7 +22,8 @@ def exclude_event_types(df: DataFrame, excluded: Sequence[str] = EXCLUDED_EVENT_
 
 
 def entity_not_null(df: DataFrame, *columns: str) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    """Keep rows with all columns present; plain IS NOT NULL tests, which the parquet scan takes."""
+    return df.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in columns))
 
 
 def trailing_days(df: DataFrame, days: int, as_of: AsOf = None, date: str = "event_date") -> DataFrame:

@@ -35,24 +35,21 @@ def lookup_join(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
-    named = {c: f"__hot_{c}" for c in columns}
-    hot = lookup.filter(F.col(weight) >= hot_rows).select(
-        F.col(key).alias("__hot_key"), *[F.col(c).alias(n) for c, n in named.items()]
-    )
-    cold = lookup.filter(F.col(weight) < hot_rows).select(
-        F.col(key).alias("__cold_key"), *[F.col(c).alias(f"__cold_{c}") for c in columns]
-    )
-    is_hot = F.col("__hot_key").isNotNull()
+    side = lambda name: [F.col(c).alias(f"__{name}_{c}") for c in (key, *columns)]
+    hot = lookup.filter(F.col(weight) >= hot_rows).select(*side("hot"))
+    cold = lookup.filter(F.col(weight) < hot_rows).select(*side("cold"))
+    hot_key, cold_key = F.col(f"__hot_{key}"), F.col(f"__cold_{key}")
     spread = F.concat(F.lit("\0"), F.xxhash64(spread_by).cast("string"))
     joined = (
-        rows.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left")
-        .withColumn("__key", F.when(is_hot | F.col(key).isNull(), spread).otherwise(F.col(key)))
-        .join(cold, F.col("__key") == F.col("__cold_key"), "left")
+        rows.join(F.broadcast(hot), F.col(key) == hot_key, "left")
+        .withColumn("__key", F.when(hot_key.isNotNull() | F.col(key).isNull(), spread).otherwise(F.col(key)))
+        .join(cold, F.col("__key") == cold_key, "left")
     )
     if how == "inner":
-        joined = joined.filter(is_hot | F.col("__cold_key").isNotNull())
-    picked = [F.coalesce(F.col(named[c]), F.col(f"__cold_{c}")).alias(c) for c in columns]
-    return joined.select(*[F.col(c) for c in rows.columns], *picked)
+        joined = joined.filter(hot_key.isNotNull() | cold_key.isNotNull())
+    found = {c: F.coalesce(f"__hot_{c}", f"__cold_{c}") for c in columns}
+    helpers = [f"__{name}_{c}" for name in ("hot", "cold") for c in (key, *columns)]
+    return joined.withColumns(found).drop("__key", *helpers)
 
 
 def join_first_seen(df: DataFrame, key: str, date: str = "event_date") -> DataFrame:

@@ -8,9 +8,18 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_of_timestamp, bucket, distinct_hours, percent, ratio
+from ..functions import (
+    as_of_timestamp,
+    bucket,
+    distinct_hours,
+    percent,
+    ratio,
+    repo_owner,
+    repo_slug,
+)
 from ..functions.calendar import AsOf
 from ..operators.aggregates import pivot_event_types, with_names
+from ..operators.filters import entity_not_null
 from ..operators.joins import HOT_ROWS, lookup_join
 from ..schemas import (
     ACTIVITY_LEVELS,
@@ -128,6 +137,51 @@ def fct_github_events(
     return joined.select(*FACT_COLUMNS).transform(stamp_build, run_at)
 
 
+#: Up to this many corrections are broadcast: a few dozen bytes of text each, some 100 MB at worst.
+BROADCAST_ROWS = 200_000
+
+
+def repository_corrections(events: DataFrame, repositories: DataFrame) -> DataFrame:
+    """Owner and slug of the repositories some of whose ``events`` carry another name, or none.
+
+    For every other repository an event's own name already gives owner and slug.  Reads ids and names
+    only; the result is about as large as the number of renames among ``events``.
+    """
+    used = entity_not_null(events, "repo_id").groupBy("repo_id", "repo_name").agg(F.count("*").alias("n"))
+    known = repositories.select(
+        F.col("repo_id"), F.col("repo_name").alias("current_name"), "repo_owner", "repo_slug"
+    )
+    return (
+        used.join(known, "repo_id")
+        .filter(~F.col("repo_name").eqNullSafe(F.col("current_name")))
+        .select("repo_id", "repo_owner", "repo_slug")
+        .distinct()
+    )
+
+
+def fct_from_own_names(events: DataFrame, corrections: DataFrame, run_at: AsOf = None) -> DataFrame:
+    """The fact without moving an event: owner and slug from its own name, or from ``corrections``.
+
+    ``corrections`` is broadcast; the caller has checked that it has at most BROADCAST_ROWS rows.
+    """
+    known = corrections.select(
+        F.col("repo_id").alias("__id"), F.col("repo_owner").alias("__owner"), F.col("repo_slug").alias("__slug")
+    )
+    own = F.when(F.col("repo_id").isNotNull(), F.col("repo_name"))
+    corrected = F.col("__id").isNotNull()
+    return (
+        events.join(F.broadcast(known), F.col("repo_id") == F.col("__id"), "left")
+        .withColumns(
+            {
+                "repo_owner": F.when(corrected, F.col("__owner")).otherwise(repo_owner(own)),
+                "repo_slug": F.when(corrected, F.col("__slug")).otherwise(repo_slug(own)),
+            }
+        )
+        .select(*FACT_COLUMNS)
+        .transform(stamp_build, run_at)
+    )
+
+
 # --- daily aggregates -------------------------------------------------------------------------------
 
 

@@ -15,6 +15,7 @@ from ..functions.calendar import AsOf
 from ..operators.checks import quality_gate, run_checks, source_freshness
 from ..operators.incremental import incremental_filter
 from ..sources.raw_events import scan_raw
+from ..sources.scratch import stage
 from ..sources.seeds import event_categories
 from ..sources.tables import Warehouse, write_by_date, write_clustered, write_table
 from . import marts, staging
@@ -30,67 +31,70 @@ class StaleSourceError(RuntimeError):
     """The raw table was last loaded longer ago than the error threshold."""
 
 
-def _build_incremental(
-    warehouse: Warehouse, table: str, source: DataFrame, build, write, mode: str, lookback_days: int
-) -> None:
-    """Build a date-partitioned model, over all dates or only the ones ``mode`` selects.
+def _pending(
+    warehouse: Warehouse, table: str, source: DataFrame, mode: str, lookback_days: int
+) -> tuple[DataFrame, str]:
+    """The source rows to build a date-partitioned model from, and how to write the result.
 
     A model's rows of one date depend only on source rows of that date, and whole dates are
     recomputed (distinct counts do not add up), so replacing date folders merges by key without
     reading the target.
     """
-    path = warehouse.path(table)
     if mode == "full" or not warehouse.exists(table):
-        write(build(source), path, "overwrite")
-        return
+        return source, "overwrite"
     selected = incremental_filter(source, warehouse.read(table), mode=mode, lookback_days=lookback_days)
-    write(build(selected), path, "append" if mode == "strict" else "replace_dates")
+    return selected, "append" if mode == "strict" else "replace_dates"
+
 
+def build_staging(
+    spark: SparkSession, warehouse: Warehouse, mode: str = "full", lookback_days: int = 7
+) -> None:
+    """Staged events, in full or for the newest dates, and the three entity models in full.
 
-def build_staging(spark: SparkSession, warehouse: Warehouse) -> None:
-    """Full refresh of the four staging models."""
-    raw = scan_raw(spark, warehouse.path(RAW_TABLE))
-    write_by_date(staging.staging_events(raw), warehouse.path("staging.stg_github_events"))
-    events = warehouse.read("staging.stg_github_events")
+    Staging is row-wise over a date-partitioned table, so it is written without a shuffle.
+    """
+    table = "staging.stg_github_events"
+    raw, write_mode = _pending(
+        warehouse, table, scan_raw(spark, warehouse.path(RAW_TABLE)), mode, lookback_days
+    )
+    write_by_date(staging.staging_events(raw), warehouse.path(table), write_mode, rebalance=False)
+    events = warehouse.read(table)
     for name in STAGING:
         write_table(getattr(staging, name)(events), warehouse.path(f"staging.{name}"))
     write_table(event_categories(spark), warehouse.path("seeds.event_type_categories"))
 
 
+def build_fact(
+    warehouse: Warehouse, run_at: AsOf = None, mode: str = "lookback", lookback_days: int = 7
+) -> None:
+    """The fact table.  Events, payloads included, stay where they are unless so many repositories
+    were renamed that their names cannot be broadcast."""
+    table = "marts.fct_github_events"
+    events, write_mode = _pending(
+        warehouse, table, warehouse.read("staging.stg_github_events"), mode, lookback_days
+    )
+    repositories = warehouse.read("staging.stg_repositories")
+    corrections = stage(marts.repository_corrections(events, repositories), "repository-corrections")
+    if corrections.count() <= marts.BROADCAST_ROWS:
+        fact = marts.fct_from_own_names(events, corrections, run_at)
+        write_clustered(fact, warehouse.path(table), write_mode, rebalance=False)
+    else:
+        fact = marts.fct_github_events(events, repositories, run_at)
+        write_clustered(fact, warehouse.path(table), write_mode)
+
+
 def build_marts(
-    spark: SparkSession,
-    warehouse: Warehouse,
-    run_at: AsOf = None,
-    mode: str = "lookback",
-    lookback_days: int = 7,
+    warehouse: Warehouse, run_at: AsOf = None, mode: str = "lookback", lookback_days: int = 7
 ) -> None:
     """Dimensions in full; fact and daily aggregates incrementally."""
     for dimension, model in zip(DIMENSIONS, STAGING, strict=True):
         built = getattr(marts, dimension)(warehouse.read(f"staging.{model}"), run_at)
         write_table(built, warehouse.path(f"marts.{dimension}"))
-
-    repositories = warehouse.read("staging.stg_repositories")
-    _build_incremental(
-        warehouse,
-        "marts.fct_github_events",
-        warehouse.read("staging.stg_github_events"),
-        lambda events: marts.fct_github_events(events, repositories, run_at),
-        write_clustered,
-        mode,
-        lookback_days,
-    )
+    build_fact(warehouse, run_at, mode, lookback_days)
     fact = warehouse.read("marts.fct_github_events")
     for name in DAILY:
-        build = getattr(marts, name)
-        _build_incremental(
-            warehouse,
-            f"marts.{name}",
-            fact,
-            lambda events, build=build: build(events, run_at),
-            write_by_date,
-            mode,
-            lookback_days,
-        )
+        events, write_mode = _pending(warehouse, f"marts.{name}", fact, mode, lookback_days)
+        write_by_date(getattr(marts, name)(events, run_at), warehouse.path(f"marts.{name}"), write_mode)
 
 
 def check_staging(spark: SparkSession, warehouse: Warehouse, as_of: AsOf = None) -> DataFrame:
@@ -119,17 +123,18 @@ def build_all(
 ) -> DataFrame:
     """Build everything from ``raw.github_events``; returns (table_name, row_count).
 
-    ``mode``: ``full``, ``lookback`` or ``strict`` (see ``incremental_filter``).  With ``gate``, a
-    stale source or a failing staging test stops the build before the marts, and a failing mart test
-    raises at the end.
+    ``mode``: ``full`` rebuilds; ``lookback`` builds the newest ``lookback_days`` dates again;
+    ``strict`` rebuilds staging and adds only new dates to the marts.  With ``gate``, a stale source
+    or a failing staging test stops the build before the marts, and a failing mart test raises at the
+    end.
     """
     if gate:
         raw = scan_raw(spark, warehouse.path(RAW_TABLE))
         if source_freshness(raw, as_of=as_of).first()["status"] == "error":
             raise StaleSourceError("raw.github_events has not been loaded recently")
-    build_staging(spark, warehouse)
+    build_staging(spark, warehouse, "full" if mode == "strict" else mode, lookback_days)
     _finish_layer(check_staging(spark, warehouse, as_of), warehouse, "staging_summary", gate)
-    build_marts(spark, warehouse, run_at, mode, lookback_days)
+    build_marts(warehouse, run_at, mode, lookback_days)
     _finish_layer(check_marts(warehouse), warehouse, "marts_summary", gate)
     return table_counts(warehouse)
 

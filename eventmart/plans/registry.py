@@ -16,6 +16,7 @@ from ..functions import bucket, contributor_type, day_name, distinct_hours, is_b
 from ..operators import aggregates, checks, filters, incremental, joins, loads, ranking, upsert
 from ..schemas import (
     ACCEPTED_EVENT_TYPES,
+    EVENTS,
     EXCLUDED_EVENT_TYPES,
     FLAT_COLUMNS,
     RAW_COLUMNS,
@@ -43,7 +44,8 @@ class Data(marts.Models):
         super().__init__(raw_from_events(self.table("events")), AS_OF)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read.schema(EVENTS) if name == "events" else self.spark.read
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def new_folder(self, label: str) -> str:
         return new_folder(self.spark, label)
@@ -165,10 +167,13 @@ def _(d):
         },
         {"unique_actor_id": ["actor_id"]},
     )
-    stored = checks.store_failures([suite], d.new_folder("test-results"))
+    root = d.new_folder("test-results")
+    checks.store_failures([suite], root)
     counts = [
-        d.spark.read.parquet(path).agg(F.count("*").alias("failing_rows")).withColumn("test", F.lit(name))
-        for name, path in stored.items()
+        checks.read_failures(suite, root, name)
+        .agg(F.count("*").alias("failing_rows"))
+        .withColumn("test", F.lit(f"raw_events.{name}"))
+        for name in suite.names()
     ]
     return reduce(DataFrame.unionByName, counts)
 

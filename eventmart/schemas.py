@@ -48,6 +48,18 @@ FLAT_COLUMNS = RAW_COLUMNS[:13]
 RAW_KEY = ["event_id", "event_date"]
 RAW_REQUIRED = [f.name for f in RAW if not f.nullable]
 
+#: The generic event stream the adapter maps onto the raw table.
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
 SEED = T.StructType(
     [
         T.StructField("event_type", T.StringType()),

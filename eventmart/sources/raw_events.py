@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schemas import RAW, RAW_COLUMNS
 
@@ -13,54 +12,48 @@ def scan_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).parquet(path).select(*RAW_COLUMNS)
 
 
+#: Raw column -> expression over the generic event, its number ``k`` and its ``repo`` (or NULL).
+_RAW_FROM_EVENTS = {
+    "event_id": "string(event_id)",
+    "event_type": """
+        CASE event_type
+          WHEN 'click' THEN 'PushEvent'
+          WHEN 'view' THEN 'WatchEvent'
+          WHEN 'error' THEN 'IssuesEvent'
+          WHEN 'purchase' THEN 'PullRequestEvent'
+          ELSE element_at(
+            array('ForkEvent', 'CreateEvent', 'IssueCommentEvent', 'DeleteEvent', 'ReleaseEvent'),
+            int(k % 5) + 1)
+        END""",
+    "created_at": "timestamp(ts)",
+    "event_date": "date(ts)",
+    "actor_id": "string(user_id)",
+    "actor_login": """
+        CASE
+          WHEN event_id % 997 = 0 THEN NULL
+          WHEN user_id % 15 = 0 THEN 'app' || user_id || '[bot]'
+          WHEN user_id % 15 = 1 THEN 'Dependabot-' || user_id
+          ELSE 'dev' || user_id
+        END""",
+    "repo_id": "string(repo)",
+    "repo_name": "'owner' || repo % 40 || '/repo' || repo",
+    "org_id": "CASE WHEN repo % 40 < 15 THEN string(1000 + repo % 40) END",
+    "org_login": "CASE WHEN repo % 40 < 15 THEN 'owner' || repo % 40 END",
+    "is_public": "k % 7 <> 0",
+    "payload": "props",
+    "source_file": "string(date(ts)) || '-' || hour(ts) || '.json.gz'",
+    "ingested_at": "timestamp(ts) + INTERVAL 2 HOURS",
+    "updated_at": "timestamp(ts) + INTERVAL 2 HOURS",
+}
+
+
 def raw_from_events(events: DataFrame) -> DataFrame:
     """Map (event_id, ts, user_id, event_type, value, props) onto the raw schema, row by row.
 
-    A projection only: date filters above it reach the parquet scan as filters on ``ts``.
+    Projections only: date filters above them reach the parquet scan as filters on ``ts``.
     """
-    text = lambda c: c.cast("string")
-    eid, user = F.col("event_id"), F.col("user_id")
-    k = F.regexp_extract("props", "[0-9]+", 0).try_cast("bigint")
-    repo = (user * 7 + k) % 400
-    owner = repo % 40
-    has_repo = eid % 101 != 0
-    in_org = has_repo & (owner < 15)
-    signup = (
-        F.when(k % 5 == 0, "ForkEvent")
-        .when(k % 5 == 1, "CreateEvent")
-        .when(k % 5 == 2, "IssueCommentEvent")
-        .when(k % 5 == 3, "DeleteEvent")
-        .otherwise("ReleaseEvent")
-    )
-    kind = (
-        F.when(F.col("event_type") == "click", "PushEvent")
-        .when(F.col("event_type") == "view", "WatchEvent")
-        .when(F.col("event_type") == "error", "IssuesEvent")
-        .when(F.col("event_type") == "purchase", "PullRequestEvent")
-        .otherwise(signup)
-    )
-    login = (
-        F.when(eid % 997 == 0, F.lit(None).cast("string"))
-        .when(user % 15 == 0, F.concat(F.lit("app"), text(user), F.lit("[bot]")))
-        .when(user % 15 == 1, F.concat(F.lit("Dependabot-"), text(user)))
-        .otherwise(F.concat(F.lit("dev"), text(user)))
-    )
-    ts = F.col("ts").cast("timestamp")
-    loaded = ts + F.expr("INTERVAL 2 HOURS")
-    return events.select(
-        text(eid).alias("event_id"),
-        kind.alias("event_type"),
-        ts.alias("created_at"),
-        F.to_date(ts).alias("event_date"),
-        text(user).alias("actor_id"),
-        login.alias("actor_login"),
-        F.when(has_repo, text(repo)).alias("repo_id"),
-        F.when(has_repo, F.concat(F.lit("owner"), text(owner), F.lit("/repo"), text(repo))).alias("repo_name"),
-        F.when(in_org, text(owner + 1000)).alias("org_id"),
-        F.when(in_org, F.concat(F.lit("owner"), text(owner))).alias("org_login"),
-        (k % 7 != 0).alias("is_public"),
-        F.col("props").alias("payload"),
-        F.concat(text(F.to_date(ts)), F.lit("-"), text(F.hour(ts)), F.lit(".json.gz")).alias("source_file"),
-        loaded.alias("ingested_at"),
-        loaded.alias("updated_at"),
+    return (
+        events.selectExpr("*", "try_cast(regexp_extract(props, '[0-9]+', 0) AS bigint) AS k")
+        .selectExpr("*", "CASE WHEN event_id % 101 <> 0 THEN (user_id * 7 + k) % 400 END AS repo")
+        .selectExpr(*[f"{expression} AS {name}" for name, expression in _RAW_FROM_EVENTS.items()])
     )

@@ -1,8 +1,9 @@
 """Table sinks: full refresh, date-partitioned, and clustered layouts.
 
-Date-partitioned writes go through ``REBALANCE(event_date)``: adaptive execution cuts an oversized
-date into several tasks and packs small dates together, so a date that holds a third of all rows is
-not one task, and small dates do not leave one file per map task.
+Rows that come out of a shuffle are written through ``REBALANCE(event_date)``: adaptive execution
+cuts an oversized date into several tasks and packs small dates together, so a date that holds a
+third of all rows is not one task, and small dates do not leave one file per task.  Rows that come
+straight from a date-partitioned scan are already grouped by date and are written as they are.
 """
 
 from __future__ import annotations
@@ -17,14 +18,19 @@ LAYERS = ["raw", "staging", "marts", "seeds", "test_results"]
 
 
 def write_by_date(
-    df: DataFrame, path: str, mode: str = "overwrite", cluster_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    cluster_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> None:
     """Write partitioned by event_date.
 
     ``mode``: ``overwrite`` replaces the table, ``replace_dates`` only the dates present in ``df``
     (which may be computed from the table itself), ``append`` adds files.
+    ``rebalance=False`` is for row-wise results over a date-partitioned table: no shuffle at all.
     """
-    shaped = df.hint("rebalance", PARTITION)
+    shaped = df.hint("rebalance", PARTITION) if rebalance else df
     if cluster_by:
         shaped = shaped.sortWithinPartitions(PARTITION, *cluster_by)
     writer = shaped.write.partitionBy(PARTITION)
@@ -42,10 +48,10 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_clustered(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = True) -> None:
     """The fact layout: one folder per date, rows sorted so row-group statistics skip event types,
     repositories and actors."""
-    write_by_date(df, path, mode, CLUSTERING)
+    write_by_date(df, path, mode, CLUSTERING, rebalance)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
