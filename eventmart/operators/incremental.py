@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from ..functions import as_of_date
 from ..functions.calendar import AsOf
 from ..schemas import INCREMENTAL_FLOOR
+from ..sources.tables import date_folders
 from .filters import trailing_days
 
 
 def incremental_filter(
     source: DataFrame,
-    target: DataFrame,
+    target: DataFrame | dt.date | None,
     floor: str = INCREMENTAL_FLOOR,
     mode: str = "lookback",
     lookback_days: int = 7,
@@ -25,12 +26,13 @@ def incremental_filter(
 
     ``strict``: dates after the target's newest one, so rows that reach an already built date later
     are never picked up.  ``lookback``: the newest ``lookback_days`` built dates again as well.  An
-    empty target counts as built up to ``floor``.  The newest date is one value read by the driver;
-    as a literal it prunes the source's folders.
+    empty target counts as built up to ``floor``.  ``target`` is the built table or its newest date
+    (None: empty).  That date is the one value the driver reads; as a literal it prunes the source's
+    folders.
     """
     if mode not in ("strict", "lookback"):
         raise ValueError(f"unknown mode {mode!r}")
-    newest = target.agg(F.max("event_date")).first()[0]
+    newest = target.agg(F.max("event_date")).first()[0] if isinstance(target, DataFrame) else target
     if newest is None:
         newest = dt.date.fromisoformat(floor)
     elif mode == "lookback":
@@ -65,18 +67,11 @@ def drop_expired_partitions(
     if keep_days is None:
         return []
     cutoff = (as_of or dt.date.today()) - dt.timedelta(days=keep_days)
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    dropped = []
-    for status in fs.listStatus(root):
-        folder = status.getPath().getName()
-        if not folder.startswith("event_date=") or folder.endswith("__HIVE_DEFAULT_PARTITION__"):
-            continue
-        date = dt.date.fromisoformat(folder.removeprefix("event_date="))
-        if date < cutoff:
-            fs.delete(status.getPath(), True)
-            dropped.append(date)
-    return sorted(dropped)
+    expired = {date: folder for date, folder in date_folders(spark, path).items() if date < cutoff}
+    for folder in expired.values():
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return sorted(expired)
 
 
 def snapshot_merge(snapshot: DataFrame | None, source: DataFrame, key: str, updated_at: str) -> DataFrame:

@@ -6,7 +6,9 @@ step, and a lost executor costs only its own tasks.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +29,23 @@ DIMENSIONS = ["dim_actors", "dim_repositories", "dim_organizations"]
 DAILY = ["agg_event_type_daily", "agg_repository_daily", "agg_actor_daily"]
 
 
+#: Models of one layer that do not depend on each other are built this many at a time.
+PARALLEL_BUILDS = 4
+
+
 class StaleSourceError(RuntimeError):
     """The raw table was last loaded longer ago than the error threshold."""
 
 
+def _together(*builds: Callable[[], None]) -> None:
+    """Submit independent builds as concurrent Spark jobs, so one model's last tasks do not leave the
+    cluster idle; the first error is raised once all have ended."""
+    with ThreadPoolExecutor(PARALLEL_BUILDS) as pool:
+        started = [pool.submit(build) for build in builds]
+    for build in started:
+        build.result()
+
+
 def _pending(
     warehouse: Warehouse, table: str, source: DataFrame, mode: str, lookback_days: int
 ) -> tuple[DataFrame, str]:
@@ -42,7 +57,8 @@ def _pending(
     """
     if mode == "full" or not warehouse.exists(table):
         return source, "overwrite"
-    selected = incremental_filter(source, warehouse.read(table), mode=mode, lookback_days=lookback_days)
+    newest = warehouse.newest_date(table)
+    selected = incremental_filter(source, newest, mode=mode, lookback_days=lookback_days)
     return selected, "append" if mode == "strict" else "replace_dates"
 
 
@@ -59,9 +75,14 @@ def build_staging(
     )
     write_by_date(staging.staging_events(raw), warehouse.path(table), write_mode, rebalance=False)
     events = warehouse.read(table)
-    for name in STAGING:
-        write_table(getattr(staging, name)(events), warehouse.path(f"staging.{name}"))
-    write_table(event_categories(spark), warehouse.path("seeds.event_type_categories"))
+
+    def build(model: str) -> None:
+        write_table(getattr(staging, model)(events), warehouse.path(f"staging.{model}"))
+
+    def seed() -> None:
+        write_table(event_categories(spark), warehouse.path("seeds.event_type_categories"))
+
+    _together(*[partial(build, model) for model in STAGING], seed)
 
 
 def build_fact(
@@ -87,15 +108,20 @@ def build_marts(
     warehouse: Warehouse, run_at: AsOf = None, mode: str = "lookback", lookback_days: int = 7
 ) -> None:
     """Dimensions in full; fact and daily aggregates incrementally."""
-    for dimension, model in zip(DIMENSIONS, STAGING, strict=True):
-        built = getattr(marts, dimension)(warehouse.read(f"staging.{model}"), run_at)
-        write_table(built, warehouse.path(f"marts.{dimension}"))
-    build_fact(warehouse, run_at, mode, lookback_days)
-    fact = warehouse.read("marts.fct_github_events")
-    for name in DAILY:
+
+    def build_dimension(name: str, model: str) -> None:
+        built = getattr(marts, name)(warehouse.read(f"staging.{model}"), run_at)
+        write_table(built, warehouse.path(f"marts.{name}"))
+
+    def build_daily(name: str) -> None:
+        fact = warehouse.read("marts.fct_github_events")
         events, write_mode = _pending(warehouse, f"marts.{name}", fact, mode, lookback_days)
         write_by_date(getattr(marts, name)(events, run_at), warehouse.path(f"marts.{name}"), write_mode)
 
+    dimensions = [partial(build_dimension, *pair) for pair in zip(DIMENSIONS, STAGING, strict=True)]
+    _together(partial(build_fact, warehouse, run_at, mode, lookback_days), *dimensions)
+    _together(*[partial(build_daily, name) for name in DAILY])
+
 
 def check_staging(spark: SparkSession, warehouse: Warehouse, as_of: AsOf = None) -> DataFrame:
     read = warehouse.read

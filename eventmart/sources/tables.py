@@ -8,6 +8,7 @@ straight from a date-partitioned scan are already grouped by date and are writte
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def date_folders(spark: SparkSession, path: str) -> dict[dt.date, str]:
+    """The table's date folders by date, from one directory listing."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listing = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    found = {}
+    for status in listing:
+        name = status.getPath().getName()
+        if name.startswith(f"{PARTITION}=") and not name.endswith("__HIVE_DEFAULT_PARTITION__"):
+            found[dt.date.fromisoformat(name.partition("=")[2])] = status.getPath().toString()
+    return found
+
+
 class Warehouse:
     """Tables of the five layers under one root folder, optionally visible to ``spark.sql``."""
 
@@ -78,6 +91,10 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
+    def newest_date(self, table: str) -> dt.date | None:
+        """The newest date of a date-partitioned table, without reading its files."""
+        return max(date_folders(self.spark, self.path(table)), default=None)
+
     def register(self, table: str) -> None:
         """Make the table queryable as ``layer.name``; folders and files stay where they are."""
         layer, name = table.split(".")
