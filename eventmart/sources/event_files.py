@@ -34,11 +34,12 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
     ``malformed``: not a JSON object, blank lines included.  ``incomplete``: JSON without an id, a
     type or a readable created_at.
+
+    The struct is exploded from a one-element array: filters on a plain column would be pushed below
+    it with a copy of the parse for every mention, so each line would be parsed several times.
     """
-    parsed = lines.withColumn(
-        "event",
-        F.from_json("value", EVENT_JSON, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}),
-    )
+    event = F.from_json("value", EVENT_JSON, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    parsed = lines.select("*", F.explode(F.array(event)).alias("event"))
     event = F.col("event")
     malformed = (
         F.col("value").isNull()
