@@ -28,13 +28,17 @@ def hour_range(spark: SparkSession, start: str, end: str) -> DataFrame:
 
 
 def hours_to_process(ranges: DataFrame, zero_padded: bool = False) -> DataFrame:
-    """Every hour of a (start_hour, end_hour) row, ends included: (hour, date_hour)."""
-    hours = F.explode(F.sequence("start_hour", "end_hour", F.expr("INTERVAL 1 HOUR")))
+    """Every hour of a (start_hour, end_hour) row, ends included: (hour, date_hour).
+
+    A range that ends before it starts has no hours.
+    """
+    hours = F.when(
+        F.col("start_hour") <= F.col("end_hour"),
+        F.sequence("start_hour", "end_hour", F.expr("INTERVAL 1 HOUR")),
+    )
     pattern = "yyyy-MM-dd-HH" if zero_padded else HOUR
-    return (
-        ranges.filter(F.col("start_hour") <= F.col("end_hour"))
-        .select(hours.alias("hour"))
-        .withColumn("date_hour", F.date_format("hour", pattern))
+    return ranges.select(F.explode(hours).alias("hour")).withColumn(
+        "date_hour", F.date_format("hour", pattern)
     )
 
 

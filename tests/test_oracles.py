@@ -1,7 +1,7 @@
 """Every registered query against its SQL statement in DuckDB."""
 
 import pytest
-from conftest import SMALL
+from tests.conftest import SMALL
 
 import __spark_entry__ as driver
 from tests import oracle
