@@ -1,8 +1,4 @@
-"""Hourly gzip JSON-lines event files: scan, split off bad lines, flatten, and write.
-
-A gzip file is one task, and hourly files are 50-80 MB, so a day of files already gives enough
-tasks; ``spread`` adds a shuffle of the text only for loads of few, large files.
-"""
+"""Hourly gzip JSON-lines event files: scan, split off bad lines, flatten, and write."""
 
 from __future__ import annotations
 
@@ -17,16 +13,13 @@ from ..schemas import EVENT_JSON
 FILE_NAME = r"(\d{4}-\d{2}-\d{2}-\d{1,2}\.json\.gz)"
 
 
-def scan_event_files(
-    spark: SparkSession, paths: str | Sequence[str], spread: int | None = None
-) -> DataFrame:
+def scan_event_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Every line of the files, blank ones too, as (value, source_file)."""
-    lines = (
+    return (
         spark.read.option("recursiveFileLookup", True)
         .text(paths if isinstance(paths, str) else list(paths))
         .select("value", F.regexp_extract(F.col("_metadata.file_path"), FILE_NAME, 1).alias("source_file"))
     )
-    return lines.repartition(spread) if spread else lines
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def test_scan_sees_every_line(spark, landing):
 
 
 def test_rejects(spark, landing, rows):
-    _, bad = reject_bad_lines(scan_event_files(spark, str(landing), spread=3))
+    _, bad = reject_bad_lines(scan_event_files(spark, str(landing)))
     reasons = {r["value"]: r["reject_reason"] for r in rows(bad)}
     assert reasons == {
         "this is not json": "malformed",
