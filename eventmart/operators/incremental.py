@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import as_of_date
 from ..functions.calendar import AsOf
 from ..schemas import INCREMENTAL_FLOOR
-from ..sources.tables import date_folders
+from ..sources.tables import date_folders, delete_folder
 from .filters import trailing_days
 
 
@@ -69,8 +69,7 @@ def drop_expired_partitions(
     cutoff = (as_of or dt.date.today()) - dt.timedelta(days=keep_days)
     expired = {date: folder for date, folder in date_folders(spark, path).items() if date < cutoff}
     for folder in expired.values():
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete_folder(spark, folder)
     return sorted(expired)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import AsOf
 from ..operators.upsert import UPDATE_COLUMNS, upsert_raw
 from ..sources.event_files import flatten_events, parse_lines, scan_event_files
-from ..sources.scratch import stage
+from ..sources.scratch import staged
 
 
 @dataclass(frozen=True)
@@ -46,16 +46,15 @@ def load_lines(
         F.count_if(rejected).alias("failed"),
         F.sum(F.coalesce(F.octet_length("value"), F.lit(0)) + 1).alias("bytes"),
     )
-    staged = stage(
-        flatten_events(parsed, F.col("reject_reason"), F.when(rejected, F.col("value")).alias("value")), "load"
-    )
-    inserted = upsert_raw(
-        spark, raw_path, staged.filter(~rejected).drop("reject_reason", "value"), run_at, update_columns
-    )
-    counts = observed.get
-    if quarantine_path and counts["failed"]:
-        bad = staged.filter(rejected).select("source_file", "value", "reject_reason")
-        bad.write.mode("append").parquet(quarantine_path)
+    rejected_text = F.when(rejected, F.col("value")).alias("value")
+    flat = flatten_events(parsed, F.col("reject_reason"), rejected_text)
+    with staged(flat, "load") as table:
+        good = table.filter(~rejected).drop("reject_reason", "value")
+        inserted = upsert_raw(spark, raw_path, good, run_at, update_columns)
+        counts = observed.get
+        if quarantine_path and counts["failed"]:
+            bad = table.filter(rejected).select("source_file", "value", "reject_reason")
+            bad.write.mode("append").parquet(quarantine_path)
     return LoadMetrics(inserted, counts["failed"], counts["bytes"] or 0, time.monotonic() - started)
 
 

@@ -17,7 +17,7 @@ from ..functions.calendar import AsOf
 from ..operators.checks import quality_gate, run_checks, source_freshness
 from ..operators.incremental import incremental_filter
 from ..sources.raw_events import scan_raw
-from ..sources.scratch import stage
+from ..sources.scratch import staged
 from ..sources.seeds import event_categories
 from ..sources.tables import Warehouse, write_by_date, write_clustered, write_table
 from . import marts, staging
@@ -95,13 +95,13 @@ def build_fact(
         warehouse, table, warehouse.read("staging.stg_github_events"), mode, lookback_days
     )
     repositories = warehouse.read("staging.stg_repositories")
-    corrections = stage(marts.repository_corrections(events, repositories), "repository-corrections")
-    if corrections.count() <= marts.BROADCAST_ROWS:
-        fact = marts.fct_from_own_names(events, corrections, run_at)
-        write_clustered(fact, warehouse.path(table), write_mode, rebalance=False)
-    else:
-        fact = marts.fct_github_events(events, repositories, run_at)
-        write_clustered(fact, warehouse.path(table), write_mode)
+    with staged(marts.repository_corrections(events, repositories), "corrections") as corrections:
+        if corrections.count() <= marts.BROADCAST_ROWS:
+            fact = marts.fct_from_own_names(events, corrections, run_at)
+            write_clustered(fact, warehouse.path(table), write_mode, rebalance=False)
+        else:
+            fact = marts.fct_github_events(events, repositories, run_at)
+            write_clustered(fact, warehouse.path(table), write_mode)
 
 
 def build_marts(

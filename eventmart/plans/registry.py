@@ -799,7 +799,7 @@ def _(d):
     return loads.load_summary(per_file)
 
 
-@query("pipeline_build")
+@query("build_all_models")
 def _(d):
     warehouse = tables.Warehouse(d.spark, d.new_folder("warehouse"))
     tables.write_by_date(d.raw, warehouse.path(pipeline.RAW_TABLE))

@@ -60,6 +60,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def date_folders(spark: SparkSession, path: str) -> dict[dt.date, str]:
     """The table's date folders by date, from one directory listing."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)

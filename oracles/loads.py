@@ -59,12 +59,13 @@ from lines group by source_file""",
  from raw
 )
 select hours as hours_processed, cast(0 as bigint) as hours_failed, n as total_rows_inserted,
- (b // 10 + case when b % 10 > 5 or (b % 10 = 5 and (b // 10) % 2 = 1) then 1 else 0 end) / 100.0::double as total_size_mb,
+ (b // 10 + case when b % 10 > 5 or (b % 10 = 5 and (b // 10) % 2 = 1) then 1 else 0 end) / 100.0::double
+  as total_size_mb,
  cast(n // hours + case when 2 * (n % hours) > hours or (2 * (n % hours) = hours and (n // hours) % 2 = 1)
                    then 1 else 0 end as bigint) as average_rows_per_hour,
  true as success
 from t""",
-    pipeline_build="""
+    build_all_models="""
 select 'staging.stg_github_events' as table_name, count(*) as row_count from stg
 union all select 'staging.stg_actors', count(*) from stg_a
 union all select 'staging.stg_repositories', count(*) from stg_r

@@ -121,7 +121,9 @@ from stg""",
     quality_filter=_show("actor_login is not null"),
     exclude_event_types=_show("event_type <> 'DeleteEvent'"),
     entity_not_null=_show("repo_id is not null and repo_name is not null"),
-    incremental_filter=_show("event_date > (select max(event_date) from stg where event_date < DATE '2024-01-20')", "stg"),
+    incremental_filter=_show(
+        "event_date > (select max(event_date) from stg where event_date < DATE '2024-01-20')", "stg"
+    ),
     incremental_filter_lookback=_show(
         "event_date > (select max(event_date) from stg where event_date < DATE '2024-01-20') - 7", "stg"
     ),

@@ -16,7 +16,7 @@ WRITING = {
     "store_test_failures",
     "upsert_raw",
     "full_refresh",
-    "pipeline_build",
+    "build_all_models",
 }
 
 

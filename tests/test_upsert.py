@@ -33,11 +33,14 @@ def test_dedupe_limits_copies_before_the_shuffle(make_raw):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-@pytest.mark.parametrize("columns, payload", [(upsert.UPDATE_COLUMNS, "new"), (upsert.UPDATE_COLUMNS_KEEP_PAYLOAD, "old")])
+@pytest.mark.parametrize(
+    "columns, payload", [(upsert.UPDATE_COLUMNS, "new"), (upsert.UPDATE_COLUMNS_KEEP_PAYLOAD, "old")]
+)
 def test_merge_columns(make_raw, columns, payload):
     old = make_raw({"event_id": "a", "payload": "old", "event_type": "PushEvent"}, {"event_id": "untouched"})
-    noon = dt.datetime(2024, 1, 10, 18)
-    new = make_raw({"event_id": "a", "payload": "new", "event_type": "ForkEvent", "created_at": noon}, {"event_id": "b"})
+    evening = dt.datetime(2024, 1, 10, 18)
+    again = {"event_id": "a", "payload": "new", "event_type": "ForkEvent", "created_at": evening}
+    new = make_raw(again, {"event_id": "b"})
     merged = {r["event_id"]: r for r in upsert.merge_batch(old, new, RUN, columns).collect()}
     assert merged.keys() == {"a", "b", "untouched"}
     a = merged["a"]
