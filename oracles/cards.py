@@ -92,7 +92,7 @@ select event_date, {_actors("new_developers", "first_day = event_date")},
 from stg join debut using (actor_id) where {_30} and not is_bot group by event_date""",
     top_organizations=f"""
 select org_login, total_events, total_repositories, last_seen_at,
- cast(epoch({NOW} - last_seen_at) // 86400 as int) as days_since_activity
+ cast(datepart('day', {NOW} - last_seen_at) as int) as days_since_activity
 from stg_o order by total_events desc, org_id limit 25""",
     org_vs_individual_30d=f"""
 select if(org_id is null, 'Individual', 'Organization') as contributor_type, count(*) as events,
