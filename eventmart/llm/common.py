@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
+from ..sources.tables import delete_folder
 
 #: Words of every contract that says "words": runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -21,11 +22,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and scan it from there: cuts lineage, survives lost executors."""
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark drops the shuffle files of a query as soon as it has ended; the written table replaces them.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, label: str, drop: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder and scan it from there: cuts lineage, survives lost executors.
+
+    ``drop``: staged tables that nothing reads any more once this one is written.
+    """
+    spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    for old in drop:
+        delete_folder(spark, old.staged_path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.staged_path = path
+    return found
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:

@@ -3,6 +3,28 @@
 _RULES = "(values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow'))"
 
 ORACLES = {
+    "op4_substring_dedup": """
+        with docs as (
+            select doc_id, row_number() over () as n, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) as w
+            from documents
+        ), windows as (
+            select doc_id, n, i, hash(array_to_string(w[i:i + 19], ' ')) as h, md5_number(array_to_string(w[i:i + 19], ' ')) as m
+            from docs, unnest(range(1, len(w) - 18)) t(i)
+        ), firsts as (
+            select h, m, min({'d': doc_id, 'i': i}) as first from windows group by h, m having count(*) > 1
+        ), again as (
+            select distinct n, i + j as pos
+            from windows join firsts using (h, m), unnest(range(0, 20)) t(j)
+            where first < {'d': doc_id, 'i': i}
+        ), gone as (
+            select n, list(pos) as gone from again group by n
+        )
+        select doc_id, len(w)::bigint as n_words, coalesce(len(gone.gone), 0)::bigint as n_removed,
+            sha256(coalesce(array_to_string(
+                case when gone.gone is null then w else [w[k] for k in range(1, len(w) + 1) if not list_contains(gone.gone, k)] end, ' '), ''))
+                as kept_sha256
+        from docs left join gone using (n)
+    """,
     "op7_url_filter": rf"""
         with split as (
             select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, simhash, token_count, url_filter, vector_search
+from . import decontamination, language_id, simhash, substrings, token_count, url_filter, vector_search
 from .common import table
 
 #: Vocabulary file of the token counts.
@@ -36,6 +36,12 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op7_url_filter")
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = {"block": list(url_filter.BLOCK_RULES), "allow": list(url_filter.ALLOW_RULES)}
