@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, simhash, substrings, token_count, url_filter, vector_search
+from . import (
+    decontamination,
+    language_id,
+    mixing,
+    pii,
+    secret_scan,
+    simhash,
+    substrings,
+    token_count,
+    url_filter,
+    vector_search,
+)
 from .common import table
 
 #: Vocabulary file of the token counts.
@@ -36,12 +47,45 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op3_pii")
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii.find_pii(docs, pii.train(docs))
+    count = {f"n_{kind}": F.size(F.filter("base", lambda s: s.kind == kind)).cast("long") for kind in pii.KINDS}
+    return found.select(
+        "doc_id",
+        *[c.alias(n) for n, c in count.items()],
+        F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
+        pii.digest(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op4_substring_dedup")
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, folder, "documents"))
+    count = {
+        f"n_{kind}": F.size(secret_scan.of_kind(F.col("base"), kind)).cast("long")
+        for kind in ("assign", "access", "hex")
+    }
+    return found.select(
+        "doc_id",
+        *[c.alias(n) for n, c in count.items()],
+        F.sha2(secret_scan.digest(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.digest(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op6_mixing")
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 @query("op7_url_filter")
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = {"block": list(url_filter.BLOCK_RULES), "allow": list(url_filter.ALLOW_RULES)}
