@@ -197,7 +197,8 @@ def remove_benchmark(
     are, null texts included.
     """
     cut = cut_udf(docs.sparkSession, load_items(benchmark, window), span_words, coverage)
-    found = docs.withColumn("__left", cut("text")).filter("text is null or __left is not null")
+    # not deterministic to the optimizer, so that it runs once per row
+    found = docs.withColumn("__left", cut.asNondeterministic()("text")).filter("text is null or __left is not null")
     changed = {"text": F.col("__left")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col("__left") == F.col("text"), F.col("n_chars")).otherwise(F.length("__left"))

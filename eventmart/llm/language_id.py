@@ -22,7 +22,7 @@ BUCKETS = 1 << 16
 #: Bound of the training sample: about so many labelled rows per language, chosen by a hash of doc_id.
 TRAINING_ROWS = 4000
 #: Code points that are hashed at once.
-_SLICE = 1 << 21
+_SLICE = 1 << 19
 
 
 def _folded() -> np.ndarray:
@@ -192,6 +192,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """Rows whose text has a language with at least probability ``least``; all columns as they were."""
-    found = predict_udf(docs.sparkSession, model)("text")
-    marked = docs.withColumn("__language", found)
+    predict = predict_udf(docs.sparkSession, model).asNondeterministic()  # so that it runs once per row
+    marked = docs.withColumn("__language", predict("text"))
     return marked.filter((F.col("__language.lang") != "und") & (F.col("__language.score") >= least)).drop("__language")

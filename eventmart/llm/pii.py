@@ -108,8 +108,8 @@ def windows_of(text: str, window: int = WINDOW, stride: int = STRIDE) -> list[tu
     return out
 
 
-def _lstm(x, w, u, b):
-    """Forward pass over (time, batch, size); returns states and what the backward pass needs."""
+def _lstm(x, w, u, b, keep=True):
+    """Forward pass over (time, batch, size); returns states and, if ``keep``, what the backward pass needs."""
     steps, batch, _ = x.shape
     hidden = u.shape[0]
     h, c, kept = np.zeros((batch, hidden)), np.zeros((batch, hidden)), []
@@ -121,8 +121,10 @@ def _lstm(x, w, u, b):
         i, f, o = gates[:, :hidden], gates[:, hidden : 2 * hidden], gates[:, 2 * hidden :]
         g = np.tanh(z[:, 3 * hidden :])
         before, c = c, f * c + i * g
-        kept.append((h, before, i, f, o, g, np.tanh(c)))
-        h = o * kept[-1][-1]
+        tanh_c = np.tanh(c)
+        if keep:
+            kept.append((h, before, i, f, o, g, tanh_c))
+        h = o * tanh_c
         states[t] = h
     return states, kept
 
@@ -166,11 +168,11 @@ class Tagger:
             p[f"b{way}"][_HIDDEN : 2 * _HIDDEN] = 1
         return cls(p | {"wo": near(2 * _HIDDEN, TAGS), "bo": np.zeros(TAGS)})
 
-    def scores(self, codes: np.ndarray):
+    def scores(self, codes: np.ndarray, keep: bool = True):
         """Tag scores (time, batch, tags) of windows (batch, time)."""
         p, x = self.p, self.p["embed"][codes.T]
-        forward, kept_f = _lstm(x, p["wf"], p["uf"], p["bf"])
-        backward, kept_b = _lstm(x[::-1], p["wb"], p["ub"], p["bb"])
+        forward, kept_f = _lstm(x, p["wf"], p["uf"], p["bf"], keep)
+        backward, kept_b = _lstm(x[::-1], p["wb"], p["ub"], p["bb"], keep)
         both = np.concatenate((forward, backward[::-1]), axis=2)
         return both @ p["wo"] + p["bo"], (x, kept_f, kept_b, both)
 
@@ -208,7 +210,7 @@ class Tagger:
 
     def decode(self, codes: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best tags (batch, time), and for each character by how much its tag beats "no data"."""
-        emit, _ = self.scores(codes)
+        emit, _ = self.scores(codes, keep=False)
         steps, batch, _ = emit.shape
         best, back, real = emit[0], np.zeros((steps, batch, TAGS), np.int64), real.T
         for t in range(1, steps):
@@ -272,13 +274,13 @@ def _varied(text: str, spans: list, rng: np.random.Generator) -> tuple[str, list
 
 
 def train(docs: DataFrame, windows: int = TRAINING_WINDOWS, steps: int = STEPS, seed: int = SEED) -> Tagger | None:
-    """Learn from at most ``windows`` windows of documents with a digit or @, chosen by a hash of doc_id and text.
+    """Learn from at most ``windows`` windows of documents with a digit or @, chosen by a hash of the text.
 
     None if no document has any.
     """
     sample = docs.select("text").filter(F.rlike("text", F.lit("[0-9@]"))).orderBy(F.xxhash64("text")).limit(windows // 2)
     rng, texts, labels = np.random.default_rng(seed), [], []
-    for row in sample.select(F.col("text")).toLocalIterator():
+    for row in sample.select("text").toLocalIterator():
         spans = base_spans(row["text"])
         for start, end in windows_of(row["text"], _CROP, _CROP // 2)[:4]:
             inside = [(k, a - start, b - start) for k, a, b in spans if start <= a and b <= end]
@@ -339,7 +341,7 @@ def reconcile(candidates: list[tuple[float, str, int, int]]) -> list[tuple[str,
     return out[::-1]
 
 
-def model_spans(tagger: Tagger, texts: list[str], bases: list[list], batch: int = 512) -> list[list[tuple[str, int, int]]]:
+def model_spans(tagger: Tagger, texts: list[str], bases: list[list], batch: int = 128) -> list[list[tuple[str, int, int]]]:
     """Spans that the model adds to those of the patterns, per text."""
     jobs = [(i, a, b) for i, t in enumerate(texts) for a, b in windows_of(t)]
     candidates: list[list] = [[] for _ in texts]

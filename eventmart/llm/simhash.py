@@ -278,11 +278,10 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """Of each component only the row with the least doc_id, all columns as they were."""
-    marked = docs.withColumn("__fp", fingerprint_udf(size)("text"))
-    prints = stage(docs.select("doc_id", fingerprint_udf(size)("text").alias("fp")), "fingerprints")
-    found = groups(prints, distance).select(
-        F.col("fp").alias("__fp"), F.col("root").alias("__root"), F.col("component_id").alias("__least")
-    )
-    kept = salted_join(marked, found, ["__fp"], F.xxhash64("doc_id"), "inner").filter(F.col("doc_id").eqNullSafe(F.col("__least")))
-    return kept.dropDuplicates(["__root"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Of each component only the row with the least doc_id (of repeated rows, one), all columns as they were."""
+    row = F.xxhash64("doc_id", "text")
+    prints = stage(docs.select("doc_id", row.alias("row"), fingerprint_udf(size)("text").alias("fp")), "fingerprints")
+    found = salted_join(prints, groups(prints, distance), ["fp"], F.col("row"), "inner")
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("row").alias("__row"))
+    kept = docs.withColumn("__row", row).join(first.select("__row"), "__row").dropDuplicates(["__row"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
