@@ -278,7 +278,9 @@ def train(docs: DataFrame, windows: int = TRAINING_WINDOWS, steps: int = STEPS,
 
     None if no document has any.
     """
-    sample = docs.select("text").filter(F.rlike("text", F.lit("[0-9@]"))).orderBy(F.xxhash64("text")).limit(windows // 2)
+    own = docs.filter(F.rlike("text", F.lit("[0-9@]"))).select("text", F.xxhash64("text").alias("h"))
+    most = own.select("h").orderBy("h").limit(windows // 2).agg(F.max("h")).first()[0]  # hashes only are sorted
+    sample = own.filter(F.col("h") <= F.lit(most)).dropDuplicates(["h"]).orderBy("h")
     rng, texts, labels = np.random.default_rng(seed), [], []
     for row in sample.select("text").toLocalIterator():
         spans = base_spans(row["text"])
