@@ -61,8 +61,12 @@ def check_not_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def check_unique(df: DataFrame, *columns: str) -> DataFrame:
-    """Duplicated values (or value combinations) and how often they occur; NULLs pass."""
-    counted = df.dropna(subset=list(columns)).groupBy(*columns).agg(F.count("*").alias("n_records"))
+    """Duplicated values (or value combinations) and how often they occur.
+
+    NULLs of a single column pass; in a combination a NULL is a value like any other.
+    """
+    known = df.dropna(subset=list(columns)) if len(columns) == 1 else df
+    counted = known.groupBy(*columns).agg(F.count("*").alias("n_records"))
     return counted.filter(F.col("n_records") > 1)
 
 

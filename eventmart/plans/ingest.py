@@ -69,13 +69,10 @@ def ingest_files(
 ) -> LoadMetrics:
     """Load one or many hourly files.
 
-    A gzip file is read by one task.  Loads of fewer files than cores therefore shuffle the text to
-    ``spread`` tasks (default: one per core) before parsing it; larger loads parse where they read.
+    A gzip file is read by one task.  For loads of fewer files than cores, ``spread`` shuffles the text to
+    so many tasks before parsing it; by default lines are parsed where they are read.
     """
     lines = scan_event_files(spark, paths)
-    cores = spark.sparkContext.defaultParallelism
-    if spread is None and len(lines.inputFiles()) < cores:
-        spread = cores
     if spread:
         lines = lines.repartition(spread)
     return load_lines(spark, lines, raw_path, run_at, update_columns, quarantine_path)

@@ -6,6 +6,7 @@ step, and a lost executor costs only its own tasks.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
@@ -19,9 +20,9 @@ from ..operators.incremental import incremental_filter
 from ..sources.raw_events import scan_raw
 from ..sources.scratch import staged
 from ..sources.seeds import event_categories
-from ..sources.tables import Warehouse, write_by_date, write_clustered, write_table
+from ..sources.tables import Warehouse, date_folders, delete_folder, write_by_date, write_clustered, write_table
 from . import marts, staging
-from .quality_suites import marts_suites, source_suite, staging_suites
+from .quality_suites import marts_suites, reference_suite, source_suite, staging_suites
 
 RAW_TABLE = "raw.github_events"
 STAGING = ["stg_actors", "stg_repositories", "stg_organizations"]
@@ -46,8 +47,47 @@ def _together(*builds: Callable[[], None]) -> None:
         build.result()
 
 
+BUILD_STATE = "staging.build_state"
+_STATE = "event_date date, n_rows long, newest timestamp, stamps long"
+
+
+def date_state(raw: DataFrame) -> DataFrame:
+    """Per date, what changes whenever a load adds, updates or removes rows of it; payloads are not read."""
+    columns = ["event_id", "event_type", "actor_id", "repo_id", "org_id", "updated_at"]
+    stamp = F.pmod(F.xxhash64(*columns), F.lit(1 << 31))
+    return raw.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("updated_at").alias("newest"), F.sum(stamp).alias("stamps")
+    )
+
+
+def touched_dates(warehouse: Warehouse, state: DataFrame) -> list[dt.date]:
+    """Dates whose rows differ from those of the last finished build, vanished dates included."""
+    if not warehouse.exists(f"{BUILD_STATE}/_SUCCESS"):
+        return [r[0] for r in state.select("event_date").collect()]
+    before = warehouse.read(BUILD_STATE)
+    same = state.join(before, state.columns, "left_semi")
+    either = state.select("event_date").union(before.select("event_date")).distinct()
+    return [r[0] for r in either.join(same, "event_date", "left_anti").collect()]
+
+
+def _drop_emptied(warehouse: Warehouse, table: str, dates: list[dt.date] | None, built: DataFrame) -> None:
+    """Replacing dates leaves a date alone that has no rows any more; ``built`` has the rows of ``dates``."""
+    if not dates or not warehouse.exists(table):
+        return
+    left = {r[0] for r in built.select("event_date").distinct().collect()}
+    folders = date_folders(warehouse.spark, warehouse.path(table))
+    for date in set(dates) - left:
+        if date in folders:
+            delete_folder(warehouse.spark, folders[date])
+
+
 def _pending(
-    warehouse: Warehouse, table: str, source: DataFrame, mode: str, lookback_days: int
+    warehouse: Warehouse,
+    table: str,
+    source: DataFrame,
+    mode: str,
+    lookback_days: int,
+    dates: list[dt.date] | None = None,
 ) -> tuple[DataFrame, str]:
     """The source rows to build a date-partitioned model from, and how to write the result.
 
@@ -55,25 +95,33 @@ def _pending(
     recomputed (distinct counts do not add up), so replacing date folders merges by key without
     reading the target.
     """
-    if mode == "full" or not warehouse.exists(table):
+    if mode == "full" or not warehouse.exists(f"{table}/_SUCCESS"):
         return source, "overwrite"
+    if mode == "touched":
+        return source.filter(F.col("event_date").isin(dates)), "replace_dates"
     newest = warehouse.newest_date(table)
     selected = incremental_filter(source, newest, mode=mode, lookback_days=lookback_days)
     return selected, "append" if mode == "strict" else "replace_dates"
 
 
 def build_staging(
-    spark: SparkSession, warehouse: Warehouse, mode: str = "full", lookback_days: int = 7
+    spark: SparkSession,
+    warehouse: Warehouse,
+    mode: str = "full",
+    lookback_days: int = 7,
+    dates: list[dt.date] | None = None,
 ) -> None:
     """Staged events, in full or for the newest dates, and the three entity models in full.
 
     Staging is row-wise over a date-partitioned table, so it is written without a shuffle.
     """
     table = "staging.stg_github_events"
-    raw, write_mode = _pending(
-        warehouse, table, scan_raw(spark, warehouse.path(RAW_TABLE)), mode, lookback_days
+    source = scan_raw(spark, warehouse.path(RAW_TABLE))
+    staged_rows, write_mode = _pending(
+        warehouse, table, staging.staging_events(source), mode, lookback_days, dates
     )
-    write_by_date(staging.staging_events(raw), warehouse.path(table), write_mode, rebalance=False)
+    _drop_emptied(warehouse, table, dates, staged_rows)
+    write_by_date(staged_rows, warehouse.path(table), write_mode, rebalance=False)
     events = warehouse.read(table)
 
     def build(model: str) -> None:
@@ -86,14 +134,19 @@ def build_staging(
 
 
 def build_fact(
-    warehouse: Warehouse, run_at: AsOf = None, mode: str = "lookback", lookback_days: int = 7
+    warehouse: Warehouse,
+    run_at: AsOf = None,
+    mode: str = "lookback",
+    lookback_days: int = 7,
+    dates: list[dt.date] | None = None,
 ) -> None:
     """The fact table.  Events, payloads included, stay where they are unless so many repositories
     were renamed that their names cannot be broadcast."""
     table = "marts.fct_github_events"
     events, write_mode = _pending(
-        warehouse, table, warehouse.read("staging.stg_github_events"), mode, lookback_days
+        warehouse, table, warehouse.read("staging.stg_github_events"), mode, lookback_days, dates
     )
+    _drop_emptied(warehouse, table, dates, events)
     repositories = warehouse.read("staging.stg_repositories")
     with staged(marts.repository_corrections(events, repositories), "corrections") as corrections:
         if corrections.count() <= marts.BROADCAST_ROWS:
@@ -105,7 +158,11 @@ def build_fact(
 
 
 def build_marts(
-    warehouse: Warehouse, run_at: AsOf = None, mode: str = "lookback", lookback_days: int = 7
+    warehouse: Warehouse,
+    run_at: AsOf = None,
+    mode: str = "lookback",
+    lookback_days: int = 7,
+    dates: list[dt.date] | None = None,
 ) -> None:
     """Dimensions in full; fact and daily aggregates incrementally."""
 
@@ -115,11 +172,13 @@ def build_marts(
 
     def build_daily(name: str) -> None:
         fact = warehouse.read("marts.fct_github_events")
-        events, write_mode = _pending(warehouse, f"marts.{name}", fact, mode, lookback_days)
-        write_by_date(getattr(marts, name)(events, run_at), warehouse.path(f"marts.{name}"), write_mode)
+        events, write_mode = _pending(warehouse, f"marts.{name}", fact, mode, lookback_days, dates)
+        daily = getattr(marts, name)(events, run_at)
+        _drop_emptied(warehouse, f"marts.{name}", dates, daily)
+        write_by_date(daily, warehouse.path(f"marts.{name}"), write_mode)
 
     dimensions = [partial(build_dimension, *pair) for pair in zip(DIMENSIONS, STAGING, strict=True)]
-    _together(partial(build_fact, warehouse, run_at, mode, lookback_days), *dimensions)
+    _together(partial(build_fact, warehouse, run_at, mode, lookback_days, dates), *dimensions)
     _together(*[partial(build_daily, name) for name in DAILY])
 
 
@@ -138,18 +197,25 @@ def check_marts(warehouse: Warehouse) -> DataFrame:
     )
 
 
+def check_references(warehouse: Warehouse) -> DataFrame:
+    """Orphan tests, as warnings."""
+    read = warehouse.read
+    return run_checks([reference_suite(read("marts.fct_github_events"), *[read(f"marts.{n}") for n in DIMENSIONS])])
+
+
 def build_all(
     spark: SparkSession,
     warehouse: Warehouse,
     as_of: AsOf = None,
     run_at: AsOf = None,
-    mode: str = "lookback",
+    mode: str = "touched",
     lookback_days: int = 7,
     gate: bool = True,
 ) -> DataFrame:
     """Build everything from ``raw.github_events``; returns (table_name, row_count).
 
-    ``mode``: ``full`` rebuilds; ``lookback`` builds the newest ``lookback_days`` dates again;
+    ``mode``: ``touched`` builds every date again whose raw rows changed since the last finished build,
+    however old, and drops dates that have become empty; ``full`` rebuilds; ``lookback`` builds the newest ``lookback_days`` dates again;
     ``strict`` rebuilds staging and adds only new dates to the marts.  With ``gate``, a stale source
     or a failing staging test stops the build before the marts, and a failing mart test raises at the
     end.
@@ -158,10 +224,17 @@ def build_all(
         raw = scan_raw(spark, warehouse.path(RAW_TABLE))
         if source_freshness(raw, as_of=as_of).first()["status"] == "error":
             raise StaleSourceError("raw.github_events has not been loaded recently")
-    build_staging(spark, warehouse, "full" if mode == "strict" else mode, lookback_days)
+    state = None
+    if mode == "touched":  # as it is now; what a load adds meanwhile belongs to the next build
+        state = spark.createDataFrame(date_state(scan_raw(spark, warehouse.path(RAW_TABLE))).collect(), _STATE)
+    dates = touched_dates(warehouse, state) if state is not None else None
+    build_staging(spark, warehouse, "full" if mode == "strict" else mode, lookback_days, dates)
     _finish_layer(check_staging(spark, warehouse, as_of), warehouse, "staging_summary", gate)
-    build_marts(warehouse, run_at, mode, lookback_days)
+    build_marts(warehouse, run_at, mode, lookback_days, dates)
+    write_table(check_references(warehouse), warehouse.path("test_results.references_summary"))
     _finish_layer(check_marts(warehouse), warehouse, "marts_summary", gate)
+    if state is not None:
+        write_table(state, warehouse.path(BUILD_STATE))
     return table_counts(warehouse)
 
 

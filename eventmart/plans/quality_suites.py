@@ -114,6 +114,18 @@ def staging_suites(
     ]
 
 
+def reference_suite(
+    fact: DataFrame, actors: DataFrame, repositories: DataFrame, organizations: DataFrame
+) -> Suite:
+    """Orphan tests of the fact.  They warn and gate no build: an event may name no repository."""
+    references = {
+        "no_orphan_actor_id": orphan_values(fact, "actor_id", actors, "actor_id"),
+        "no_orphan_repo_id": orphan_values(fact, "repo_id", repositories, "repo_id"),
+        "no_orphan_org_id": orphan_values(fact, "org_id", organizations, "org_id"),
+    }
+    return Suite("marts.fct_github_events", fact, {}, other=references)
+
+
 def marts_suites(
     fact: DataFrame,
     actors: DataFrame,
@@ -123,18 +135,8 @@ def marts_suites(
     repository_daily: DataFrame,
     actor_daily: DataFrame,
 ) -> list[Suite]:
-    references = {
-        "no_orphan_actor_id": orphan_values(fact, "actor_id", actors, "actor_id"),
-        "no_orphan_repo_id": orphan_values(fact, "repo_id", repositories, "repo_id"),
-        "no_orphan_org_id": orphan_values(fact, "org_id", organizations, "org_id"),
-    }
     return [
-        Suite(
-            "marts.fct_github_events",
-            fact,
-            _not_null(*RAW_KEY, "event_type", "created_at"),
-            other=references,
-        ),
+        Suite("marts.fct_github_events", fact, _not_null(*RAW_KEY, "event_type", "created_at")),
         Suite("marts.dim_actors", actors, _not_null("actor_id", "actor_login"), {"unique_actor_id": ["actor_id"]}),
         Suite(
             "marts.dim_repositories",

@@ -13,12 +13,19 @@ from ..schemas import EVENT_JSON
 FILE_NAME = r"(\d{4}-\d{2}-\d{2}-\d{1,2}\.json\.gz)"
 
 
+def file_name() -> Column:
+    """The hourly name if the path has one, else the path's last element."""
+    path = F.col("_metadata.file_path")
+    hourly = F.regexp_extract(path, FILE_NAME, 1)
+    return F.when(hourly != "", hourly).otherwise(F.substring_index(path, "/", -1)).alias("source_file")
+
+
 def scan_event_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Every line of the files, blank ones too, as (value, source_file)."""
     return (
         spark.read.option("recursiveFileLookup", True)
         .text(paths if isinstance(paths, str) else list(paths))
-        .select("value", F.regexp_extract(F.col("_metadata.file_path"), FILE_NAME, 1).alias("source_file"))
+        .select("value", file_name())
     )
 
 

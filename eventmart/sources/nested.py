@@ -10,7 +10,7 @@ from .event_files import event_struct
 
 def nested_events(raw: DataFrame) -> DataFrame:
     """Raw rows in the nested layout: one VARIANT per JSON object, plus the whole event."""
-    part = lambda name: F.parse_json(F.to_json(F.col(f"e.{name}"))).alias(name)
+    part = lambda name: F.try_parse_json(F.to_json(F.col(f"e.{name}"))).alias(name)
     return raw.select(event_struct().alias("e"), "created_at", "ingested_at").select(
         "e.id",
         "e.type",
@@ -20,7 +20,7 @@ def nested_events(raw: DataFrame) -> DataFrame:
         "e.public",
         "created_at",
         part("org"),
-        F.parse_json(F.to_json("e")).alias("raw_data"),
+        F.try_parse_json(F.to_json("e")).alias("raw_data"),
         "ingested_at",
     )
 

@@ -7,11 +7,10 @@ failure is upserted again, which changes nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.ingest import load_lines
-from ..sources.event_files import FILE_NAME
+from ..sources.event_files import file_name
 
 
 def load_new_files(
@@ -29,8 +28,9 @@ def load_new_files(
     lines = (
         spark.readStream.option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files_per_batch)
+        .option("maxFileAge", "36500d")  # the default leaves out files a week older than the newest
         .text(landing)
-        .select("value", F.regexp_extract(F.col("_metadata.file_path"), FILE_NAME, 1).alias("source_file"))
+        .select("value", file_name())
     )
 
     def load(batch: DataFrame, _: int) -> None:

@@ -122,3 +122,9 @@ def test_row_tests_of_a_table_share_one_scan(data):
     only_rows = checks.Suite(suite.table, suite.df, suite.rows)
     plan = checks.run_checks([only_rows])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and len(suite.rows) == 22
+
+
+def test_combinations_with_a_null_part_count(spark):
+    df = spark.createDataFrame([("a", None), ("a", None), (None, None), ("b", 1)], "x string, y int")
+    assert [tuple(r) for r in checks.check_unique(df, "x", "y").collect()] == [("a", None, 2)]
+    assert checks.check_unique(df, "y").count() == 0

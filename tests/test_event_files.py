@@ -134,3 +134,9 @@ def test_head_profile_counts_untyped_lines(spark, rows):
 def test_null_line_is_rejected(spark):
     lines = spark.createDataFrame([(None, FIRST)], "value string, source_file string")
     assert parse_lines(lines).filter(F.col("reject_reason") == "malformed").count() == 1
+
+
+def test_any_file_name_is_kept(spark, tmp_path):
+    (tmp_path / "export.json.gz").write_bytes(b"")
+    (tmp_path / "export.txt").write_text('{"id": 1}')
+    assert [r["source_file"] for r in scan_event_files(spark, str(tmp_path)).collect()] == ["export.txt"]

@@ -50,6 +50,36 @@ def test_lookback_equals_rebuild_and_strict_does_not(spark, data, tmp_path, rows
     assert len(found["strict"]["fct_github_events"]) == len(rebuilt["fct_github_events"]) - missing
 
 
+def test_touched_dates_are_built_again_however_old(spark, data, tmp_path, rows):
+    day, old = F.lit("2024-01-20").cast("date"), F.lit("2024-01-05").cast("date")
+    base = data.raw.filter(F.col("event_date") > day)
+    late = data.raw.filter(F.col("event_date") == old)
+    emptied = data.raw.filter(F.col("event_date") == "2024-01-22").withColumn("event_type", F.lit("DeleteEvent"))
+    warehouse = Warehouse(spark, str(tmp_path))
+    for step in (base, late.unionByName(emptied)):
+        load(spark, warehouse, step)
+        build(spark, warehouse, "touched")
+        assert pipeline.touched_dates(warehouse, pipeline.date_state(warehouse.read(pipeline.RAW_TABLE))) == []
+    found = {"touched": {}, "full": {}}
+    tables = ["staging.stg_github_events", "staging.stg_actors", "marts.fct_github_events"]
+    tables += [f"marts.{t}" for t in pipeline.DAILY]
+    for mode in found:
+        if mode == "full":
+            build(spark, warehouse, mode)
+        found[mode] = {t: rows(warehouse.read(t)) for t in tables}
+    assert found["touched"] == found["full"]
+    dates = {str(r["event_date"]) for r in found["touched"]["staging.stg_github_events"]}
+    assert "2024-01-05" in dates and "2024-01-22" not in dates
+
+
+def test_an_event_without_repository_name_warns_but_builds(spark, tmp_path, make_raw):
+    warehouse = Warehouse(spark, str(tmp_path))
+    load(spark, warehouse, make_raw({}, {"repo_id": "99", "repo_name": None}))
+    pipeline.build_all(spark, warehouse, "2024-01-11", "2024-01-11")
+    summary = warehouse.read("test_results.references_summary")
+    assert summary.filter("test like '%no_orphan_repo_id' and failures > 0").count() == 1
+
+
 def test_shuffled_fact_path_gives_the_same_table(spark, data, tmp_path, rows, monkeypatch):
     warehouse = Warehouse(spark, str(tmp_path))
     load(spark, warehouse, data.raw.filter("event_date < '2024-01-04'"))
