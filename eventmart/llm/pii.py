@@ -74,7 +74,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
             found.append(("email", start, done))
         at = text.find("@", max(done, at + 1))
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") for p in m[0].split(".")]  # a part can have more digits than int() takes
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         own = _digits(m[0])

@@ -194,6 +194,7 @@ def test_pii_patterns_and_model(spark, texts):
         assert base == pii.base_spans(text) and set(base) <= {tuple(s) for s in found[doc_id]["spans"]}
     text = "x a@b.c, 1.2.3.256 1.2.3.4; 4111 1111 1111 1111; +1 (456) 555-2186"
     assert [text[a:b] for _, a, b in pii.base_spans(text)] == ["a@b.c", "1.2.3.4", "4111 1111 1111 1111", "+1 (456) 555-2186"]
+    assert [s[0] for s in pii.base_spans(f"{'0' * 5000}1.2.3.004 1{'0' * 5000}.2.3.4")] == ["ip"]
     assert pii.mask(spark.createDataFrame([(text,)], "text string"), None).first()[0] == "x <email>, 1.2.3.256 <ip>; <card>; <phone>"
 
 
