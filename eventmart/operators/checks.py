@@ -108,11 +108,14 @@ def check_no_future_events(df: DataFrame, as_of: AsOf = None) -> DataFrame:
     return df.filter(in_future(as_of)).select("event_id", "created_at", "event_date")
 
 
-def check_positive_counts(daily: DataFrame) -> DataFrame:
-    """Days and types with a non-positive count; also fires when every repository id is NULL."""
-    counts = ["total_events", "unique_actors", "unique_repositories"]
+def check_positive_counts(
+    daily: DataFrame,
+    counts: Sequence[str] = ("total_events", "unique_actors", "unique_repositories"),
+    shown: Sequence[str] = ("event_date", "event_type", "total_events"),
+) -> DataFrame:
+    """Rows with a non-positive count; also fires when every repository id is NULL."""
     failing = reduce(lambda a, b: a | b, [F.col(c) <= 0 for c in counts])
-    return daily.filter(failing).select("event_date", "event_type", "total_events")
+    return daily.filter(failing).select(*shown)
 
 
 def check_event_date_matches(df: DataFrame, timestamp: str = "created_at") -> DataFrame:

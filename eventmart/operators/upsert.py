@@ -20,7 +20,7 @@ from ..sources.raw_events import scan_raw
 from ..sources.tables import path_exists, write_by_date
 from .ranking import first_per_key
 
-#: Columns a re-delivered event may change.  created_at and ingested_at keep their first value.
+#: Columns a re-delivered event may change.  created_at and ingested_at keep their first value.
 UPDATE_COLUMNS = [
     "event_type",
     "actor_id",

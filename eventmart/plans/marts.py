@@ -90,6 +90,7 @@ def dim_organizations(organizations: DataFrame, run_at: AsOf = None) -> DataFram
 
 # --- fact -----------------------------------------------------------------------------------------
 
+# The columns of the fact.
 FACT_COLUMNS = [
     "event_id",
     "event_date",

@@ -89,8 +89,9 @@ def _all_lines(d: Data) -> DataFrame:
     return event_files.event_lines(d.raw).unionByName(documents).unionByName(props)
 
 
-def _early_repositories(d: Data) -> DataFrame:
-    return staging.stg_repositories(_before(d.events, "2024-01-04"))
+def _customers(d: Data) -> DataFrame:
+    """Customers as accounts; many have no events."""
+    return d.table("customer").select(F.col("c_custkey").cast("string").alias("actor_id"), "c_nationkey")
 
 
 # --- scans, sources, sinks ----------------------------------------------------------------------------
@@ -438,8 +439,7 @@ def _(d):
 
 @query("anti_join_orphans")
 def _(d):
-    events = d.events.select("event_id", "event_date", "repo_id")
-    return joins.anti_join_orphans(events, "repo_id", _early_repositories(d), "repo_id", "event_id")
+    return joins.anti_join_orphans(_customers(d), "actor_id", d.actors, "actor_id", "c_nationkey")
 
 
 @query("merge_match")
@@ -706,8 +706,8 @@ def _(d):
 
 @query("test_positive_counts")
 def _(d):
-    without_repository = d.fact.filter(F.col("repo_id").isNull())
-    return checks.check_positive_counts(marts.agg_event_type_daily(without_repository))
+    counts = ["total_events", "unique_repositories"]
+    return checks.check_positive_counts(d.actor_daily, counts, ["event_date", "actor_id", "total_events"])
 
 
 @query("test_event_date_matches")
@@ -717,7 +717,7 @@ def _(d):
 
 @query("test_no_orphans")
 def _(d):
-    return checks.check_no_orphans(d.events, "repo_id", _early_repositories(d), "repo_id")
+    return checks.check_no_orphans(_customers(d), "actor_id", d.actors, "actor_id")
 
 
 @query("test_recency")
@@ -772,7 +772,9 @@ def _(d):
 
 @query("missing_hours")
 def _(d):
-    return loads.missing_hours(d.raw, _data_hours(d))
+    day = F.expr("INTERVAL 24 HOURS")  # the days around the data are gaps
+    around = _data_hours(d).select((F.col("start_hour") - day).alias("start_hour"), (F.col("end_hour") + day).alias("end_hour"))
+    return loads.missing_hours(d.raw, around)
 
 
 @query("date_hour_to_path")

@@ -16,6 +16,7 @@ from ..operators.aggregates import with_names
 from ..operators.filters import entity_not_null, exclude_event_types, quality_filter
 from ..schemas import EXCLUDED_EVENT_TYPES
 
+# The columns of staged events.
 EVENT_COLUMNS = [
     "event_id",
     "event_date",

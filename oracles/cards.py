@@ -107,7 +107,7 @@ from stg_o group by repo_count_bucket""",
     event_type_trend_30d=f"""
 select event_date, event_type, count(*) as events from stg
 where {_30} and event_type in
- ('CreateEvent', 'ForkEvent', 'IssuesEvent', 'PullRequestEvent', 'PushEvent', 'WatchEvent')
+ ('PushEvent', 'PullRequestEvent', 'IssuesEvent', 'WatchEvent', 'ForkEvent', 'CreateEvent')
 group by event_date, event_type""",
     event_type_engagement_30d=f"""
 , t as (
@@ -119,7 +119,7 @@ select *, {ratio("total_events", "unique_actors")} as events_per_actor,
 from t""",
     hourly_by_event_type_7d=f"""
 select event_hour, event_type, count(*) as events from stg
-where {_7} and event_type in ('IssuesEvent', 'PullRequestEvent', 'PushEvent') group by event_hour, event_type""",
+where {_7} and event_type in ('PushEvent', 'PullRequestEvent', 'IssuesEvent') group by event_hour, event_type""",
     data_freshness=f"""
 , t as (
  select max(event_date) as latest_event_date, max(ingested_at) as latest_ingestion,

@@ -9,6 +9,9 @@ _HOURS = """
                                interval 1 hour)) as h
  from raw
 )"""
+_AROUND = _HOURS.replace("min(date_trunc('hour', created_at))", "min(date_trunc('hour', created_at)) - interval 24 hour").replace(
+    "max(date_trunc('hour', created_at))", "max(date_trunc('hour', created_at)) + interval 24 hour"
+)
 # An event line spelled out as text: absent values have no key at all.
 _LINE = """
  '{"id":"' || event_id || '","type":"' || event_type || '","actor":{"id":' || actor_id
@@ -27,7 +30,7 @@ from raw order by created_at desc, source_file desc limit 1""",
 select date_trunc('hour', max(created_at)) + interval 1 hour as start_hour,
  TIMESTAMP '2024-02-01 04:00:00' as end_hour
 from raw""",
-    missing_hours=f"""{_HOURS}
+    missing_hours=f"""{_AROUND}
 select h as hour, {_HOUR} as date_hour from hours
 where h not in (select date_trunc('hour', created_at) from raw)""",
     date_hour_to_path="""

@@ -1,7 +1,8 @@
 """Data tests."""
 
-from .base import SHOWN, sql_map, type_daily_of
+from .base import SHOWN, sql_map
 
+# The event types in use.
 _KNOWN = """'PushEvent', 'CreateEvent', 'IssuesEvent', 'IssueCommentEvent', 'PullRequestEvent',
  'PullRequestReviewEvent', 'PullRequestReviewCommentEvent', 'WatchEvent', 'ForkEvent', 'DeleteEvent',
  'ReleaseEvent', 'PublicEvent', 'MemberEvent', 'CommitCommentEvent', 'GollumEvent', 'DiscussionEvent'"""
@@ -87,16 +88,15 @@ from raw""",
 select event_id, repo_name from raw where length(repo_name) < 3 or length(repo_name) > 13""",
     test_no_future_events="""
 select event_id, created_at, event_date from raw where created_at > TIMESTAMP '2024-01-25 00:00:00'""",
-    test_positive_counts=f"""
-select event_date, event_type, total_events
-from ({type_daily_of("(select * from stg where repo_id is null)")})
-where unique_repositories = 0""",
+    test_positive_counts="""
+select event_date, actor_id, total_events from actor_daily
+where total_events <= 0 or unique_repositories <= 0""",
     test_event_date_matches="""
 select event_id, event_date, ingested_at as created_at, cast(ingested_at as date) as created_date
 from raw where event_date <> cast(ingested_at as date)""",
     test_no_orphans="""
-select repo_id, count(*) as orphan_rows from stg
-where repo_id is not null and repo_id not in (select repo_id from early_r) group by repo_id""",
+select cast(c_custkey as varchar) as actor_id, count(*) as orphan_rows from customer
+where c_custkey is not null and cast(c_custkey as varchar) not in (select actor_id from stg_a) group by c_custkey""",
     test_recency="""
 , t as (
  select max(created_at) as latest_timestamp,

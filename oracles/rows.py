@@ -2,6 +2,7 @@
 
 from .base import FLAT, NOW, RAW_COLUMNS, RELOAD, SHOWN, SIZES, actors_of, sql_map, tiers
 
+# The category lookup.
 _SEEDS = """(values
  ('PushEvent', 'code', 'Push commits to a branch', true),
  ('PullRequestEvent', 'collaboration', 'Pull request opened/closed/merged', true),
@@ -129,7 +130,7 @@ from stg""",
     ),
     trailing_days=_show("event_date >= DATE '2024-01-24'"),
     between_windows=_show("event_date between DATE '2024-01-17' and DATE '2024-01-23'"),
-    event_type_in=_show("event_type in ('ForkEvent', 'PushEvent')"),
+    event_type_in=_show("event_type in ('PushEvent', 'ForkEvent')"),
     exclude_bots=_show("not is_bot", "stg"),
     dashboard_filters=_show(
         "event_date between DATE '2024-01-05' and DATE '2024-01-25' "
@@ -181,7 +182,8 @@ where event_date >= DATE '2024-01-24' group by all""",
     join_first_activity="""
 select distinct actor_id, event_date, min(event_date) over (partition by actor_id) as first_seen from stg""",
     anti_join_orphans="""
-select event_id, event_date, repo_id from stg where repo_id not in (select repo_id from early_r)""",
+select cast(c_custkey as varchar) as actor_id, c_nationkey from customer
+where cast(c_custkey as varchar) not in (select actor_id from stg_a)""",
     event_category_lookup=f"""
 select event_id, raw.event_type, category, is_code_change
 from raw left join (select * from {_SEEDS}) s on s.event_type = raw.event_type""",
