@@ -1,6 +1,6 @@
 """Column expressions: JVM built-ins only, so they stay inside whole-stage codegen."""
 
-from .calendar import as_of_date, as_of_timestamp, day_name, time_parts
+from .calendar import as_of_date, as_of_timestamp, day_name, time_parts, utc_date, utc_floor, utc_hour
 from .measures import bucket, distinct_hours, percent, ratio
 from .text import contributor_type, is_bot, repo_owner, repo_slug
 
@@ -17,4 +17,7 @@ __all__ = [
     "repo_owner",
     "repo_slug",
     "time_parts",
+    "utc_date",
+    "utc_floor",
+    "utc_hour",
 ]

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_of_date, as_of_timestamp
+from ..functions import as_of_date, as_of_timestamp, utc_date
 from ..functions.calendar import AsOf
 from ..schemas import RAW_REQUIRED
 from .joins import orphan_values
@@ -50,7 +50,7 @@ def in_future(as_of: AsOf = None) -> Column:
 
 
 def date_differs(timestamp: str = "created_at", date: str = "event_date") -> Column:
-    return F.coalesce(F.col(date) != F.to_date(F.col(timestamp)), F.lit(False))
+    return F.coalesce(F.col(date) != utc_date(timestamp), F.lit(False))
 
 
 # --- tests ------------------------------------------------------------------------------------
@@ -123,7 +123,7 @@ def check_event_date_matches(df: DataFrame, timestamp: str = "created_at") -> Da
         "event_id",
         "event_date",
         F.col(timestamp).alias("created_at"),
-        F.to_date(F.col(timestamp)).alias("created_date"),
+        utc_date(timestamp).alias("created_date"),
     )
 
 
@@ -135,7 +135,7 @@ def check_no_orphans(df: DataFrame, column: str, parent: DataFrame, parent_colum
 def check_recency(df: DataFrame, timestamp: str, days_back: int = 7, as_of: AsOf = None) -> DataFrame:
     """One row if the newest value is more than ``days_back`` days old."""
     newest = df.agg(F.max(timestamp).alias("latest_timestamp"))
-    age = F.datediff(as_of_date(as_of), F.to_date("latest_timestamp"))
+    age = F.datediff(as_of_date(as_of), utc_date("latest_timestamp"))
     return newest.withColumn("days_since_latest", age).filter(F.col("days_since_latest") > days_back)
 
 

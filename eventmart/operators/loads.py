@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import as_of_timestamp
+from ..functions import as_of_timestamp, utc_date, utc_floor, utc_hour
 from ..functions.calendar import AsOf
 from ..sources.event_files import parse_lines
+from ..sources.raw_events import scan_raw
+from ..sources.tables import date_folders
 from .ranking import latest_row
 
-HOUR = "yyyy-MM-dd-H"
 EXTENSION = ".json.gz"
 DATE_HOUR = r"^\d{4}-\d{2}-\d{2}-\d{1,2}$"
 
 
 def parse_hour(label: Column) -> Column:
-    """``yyyy-MM-dd-H`` text to a timestamp; NULL if malformed or not a calendar hour."""
-    return F.when(label.rlike(DATE_HOUR), F.try_to_timestamp(label, F.lit(HOUR)))
+    """``yyyy-MM-dd-H`` text to a timestamp, UTC; NULL if malformed or not a calendar hour."""
+    utc = F.concat(label, F.lit(" Z"))
+    return F.when(label.rlike(DATE_HOUR), F.try_to_timestamp(utc, F.lit("yyyy-MM-dd-H X")))
 
 
 def hour_range(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -36,12 +40,23 @@ def hours_to_process(ranges: DataFrame, zero_padded: bool = False) -> DataFrame:
         F.col("start_hour") <= F.col("end_hour"),
         F.sequence("start_hour", "end_hour", F.expr("INTERVAL 1 HOUR")),
     )
-    pattern = "yyyy-MM-dd-HH" if zero_padded else HOUR
+    number = utc_hour("hour").cast("string")
+    number = F.lpad(number, 2, "0") if zero_padded else number
     return ranges.select(F.explode(hours).alias("hour")).withColumn(
-        "date_hour", F.date_format("hour", pattern)
+        "date_hour", F.concat_ws("-", utc_date("hour").cast("string"), number)
     )
 
 
+def newest_rows(spark: SparkSession, raw_path: str) -> DataFrame:
+    """Of the stored raw table, the newest date that has rows; all that ``last_processed_hour`` needs."""
+    raw = scan_raw(spark, raw_path)
+    for date in sorted(date_folders(spark, raw_path), reverse=True):
+        rows = raw.filter(F.col("event_date") == F.lit(date))
+        if not rows.isEmpty():
+            return rows
+    return raw.filter(F.lit(False))
+
+
 def last_processed_hour(raw: DataFrame) -> DataFrame:
     """One row: the newest event's source file and the hour in its name; NULLs for an empty table."""
     label = F.replace(F.col("source_file"), F.lit(EXTENSION), F.lit(""))
@@ -57,24 +72,33 @@ def load_range(
     00:00 for an empty table) to two hours before ``as_of``.
     """
     now = as_of_timestamp(as_of)
-    explicit_start = parse_hour(F.trim(F.lit(backfill_start)))
-    explicit_end = parse_hour(F.trim(F.lit(backfill_end)))
-    explicit = explicit_start.isNotNull() & explicit_end.isNotNull()
+    in_order = F.col("start_hour") <= F.col("end_hour")
+    explicit = hour_range(raw.sparkSession, backfill_start.strip(), backfill_end.strip()).dropna()
+    if not explicit.isEmpty():  # without a look at the table
+        return explicit.filter(in_order)
     one_hour = F.expr("INTERVAL 1 HOUR")
-    next_hour = F.coalesce(F.col("last_hour") + one_hour, F.date_trunc("day", now))
-    latest = F.date_trunc("hour", now - F.expr("INTERVAL 2 HOURS"))
+    next_hour = F.coalesce(F.col("last_hour") + one_hour, utc_floor(now, 86_400))
+    latest = utc_floor(now - F.expr("INTERVAL 2 HOURS"), 3_600)
     return (
         last_processed_hour(raw)
         .select(
-            F.when(explicit, explicit_start).otherwise(next_hour).alias("start_hour"),
-            F.when(explicit, explicit_end).otherwise(latest).alias("end_hour"),
+            next_hour.alias("start_hour"),
+            latest.alias("end_hour"),
         )
-        .filter(F.col("start_hour") <= F.col("end_hour"))
+        .filter(in_order)
     )
 
 
-def missing_hours(raw: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Hours of the range without a single raw row, gaps in the middle included."""
+def missing_hours(raw: DataFrame, ranges: DataFrame, skew_days: int = 1) -> DataFrame:
+    """Hours of the range without a single raw row, gaps in the middle included.
+
+    Only dates of the range are read, and ``skew_days`` on both sides for events whose own date is not
+    that of their file.  The driver reads the range's two ends.
+    """
+    first, last = ranges.agg(F.min(utc_date("start_hour")), F.max(utc_date("end_hour"))).first()
+    if first is not None and last is not None:
+        margin = dt.timedelta(days=skew_days)
+        raw = raw.filter(F.col("event_date").between(F.lit(first - margin), F.lit(last + margin)))
     loaded = raw.select(F.replace(F.col("source_file"), F.lit(EXTENSION), F.lit("")).alias("date_hour"))
     return hours_to_process(ranges).join(loaded.distinct(), "date_hour", "left_anti")
 
@@ -95,7 +119,7 @@ def load_metrics(lines: DataFrame, table_name: str = "raw.github_events") -> Dat
         F.octet_length("value").alias("bytes"),
         F.col("reject_reason").isNotNull().alias("rejected"),
         F.when(F.col("reject_reason").isNull(), F.col("event.id")).alias("id"),
-        F.to_date("event.created_at").alias("date"),
+        utc_date("event.created_at").alias("date"),
     )
     return parsed.groupBy("source_file").agg(
         F.lit(table_name).alias("table_name"),

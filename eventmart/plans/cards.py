@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_of_date, as_of_timestamp, bucket, contributor_type, day_name, percent, ratio
+from ..functions import as_of_date, as_of_timestamp, bucket, contributor_type, day_name, percent, ratio, utc_date
 from ..functions.calendar import AsOf
 from ..operators.aggregates import conditional_distinct, group_by_expression
 from ..operators.filters import (
@@ -271,17 +271,24 @@ def activity_by_weekday(
     )
 
 
-def new_vs_returning(fact: DataFrame, as_of: AsOf = None, days: int = 30) -> DataFrame:
+def new_vs_returning(
+    fact: DataFrame, as_of: AsOf = None, days: int = 30, actors: DataFrame | None = None
+) -> DataFrame:
     """Per date, humans first seen that day and humans seen before; first seen over all history.
 
-    All history is reduced to (actor, date) pairs first.  Actors are unique within a date by then,
-    so the distinct counts are plain counts and no join is needed.
+    The fact is reduced to (actor, date) pairs first.  Actors are unique within a date by then, so the
+    distinct counts are plain counts.  With ``actors`` (the actor dimension of the same events), only the
+    window's dates of the fact are read and joined to it; without, first dates come from all history.
     """
-    pairs = fact.groupBy("actor_id", "event_date").agg(F.bool_or(~F.col("is_bot")).alias("human"))
-    seen = join_first_seen(pairs.filter(F.col("actor_id").isNotNull()), "actor_id")
+    source = fact if actors is None else trailing_days(fact, days, as_of)
+    pairs = source.groupBy("actor_id", "event_date").agg(F.bool_or(~F.col("is_bot")).alias("human"))
+    pairs = pairs.filter(F.col("actor_id").isNotNull())
+    if actors is None:
+        seen = trailing_days(join_first_seen(pairs, "actor_id"), days, as_of)
+    else:
+        seen = pairs.join(actors.select("actor_id", utc_date("first_seen_at").alias("first_seen")), "actor_id")
     return (
-        trailing_days(seen, days, as_of)
-        .filter("human")
+        seen.filter("human")
         .groupBy("event_date")
         .agg(
             F.count_if(F.col("first_seen") == F.col("event_date")).alias("new_developers"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_of_date
+from ..functions import as_of_date, as_of_timestamp
 from ..functions.calendar import AsOf
 from ..operators.checks import (
     Suite,
@@ -41,7 +41,7 @@ def staging_suites(
     organizations: DataFrame,
     as_of: AsOf = None,
 ) -> list[Suite]:
-    tomorrow = F.date_add(as_of_date(as_of), 1).cast("timestamp")
+    tomorrow = F.timestamp_seconds((F.unix_date(as_of_date(as_of)).cast("long") + 1) * 86_400)
     event_rows = {
         **_not_null(
             *RAW_KEY,
@@ -59,7 +59,7 @@ def staging_suites(
         "not_empty_event_id": is_blank("event_id"),
         "not_empty_actor_login": is_blank("actor_login"),
         "accepted_values_event_type": not_accepted("event_type", ACCEPTED_EVENT_TYPES),
-        "between_created_at": outside("created_at", F.to_timestamp(F.lit("2015-01-01")), tomorrow),
+        "between_created_at": outside("created_at", as_of_timestamp("2015-01-01"), tomorrow),
         "length_repo_name": outside(F.length("repo_name"), 3, 255),
         "between_event_hour": outside("event_hour", 0, 23),
         "between_event_day_of_week": outside("event_day_of_week", 1, 7),

@@ -12,7 +12,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import bucket, contributor_type, day_name, distinct_hours, is_bot, repo_owner, repo_slug
+from ..functions import as_of_timestamp, bucket, contributor_type, day_name, distinct_hours, is_bot, repo_owner, repo_slug, utc_date, utc_floor
 from ..operators import aggregates, checks, filters, incremental, joins, loads, ranking, upsert
 from ..schemas import (
     ACCEPTED_EVENT_TYPES,
@@ -39,7 +39,6 @@ class Data(marts.Models):
     """The models over one test-data folder, plus its other tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.folder = spark, folder
         super().__init__(raw_from_events(self.table("events")), AS_OF)
 
@@ -83,10 +82,14 @@ def _redelivered(raw: DataFrame) -> DataFrame:
 
 
 def _all_lines(d: Data) -> DataFrame:
-    """Event lines, lines that are not JSON (documents) and JSON that is no event (props)."""
+    """Event lines, the same with something after them (trailing, doubled), lines that are not JSON
+    (documents) and JSON that is no event (props)."""
+    events = event_files.event_lines(d.raw)
+    trailing = events.select(F.concat("value", F.lit(" trailing")).alias("value"), F.lit("trailing").alias("source_file"))
+    doubled = events.select(F.concat("value", "value").alias("value"), F.lit("doubled").alias("source_file"))
     documents = d.table("documents").select(F.col("text").alias("value"), F.lit("documents").alias("source_file"))
     props = d.table("events").select(F.col("props").alias("value"), F.lit("props").alias("source_file"))
-    return event_files.event_lines(d.raw).unionByName(documents).unionByName(props)
+    return events.unionByName(trailing).unionByName(doubled).unionByName(documents).unionByName(props)
 
 
 def _customers(d: Data) -> DataFrame:
@@ -369,7 +372,7 @@ def _(d):
 
 @query("incremental_merge")
 def _(d):
-    first_load = d.fact.filter(F.col("created_at") < F.lit("2024-01-20 06:00:00").cast("timestamp"))
+    first_load = d.fact.filter(F.col("created_at") < as_of_timestamp("2024-01-20 06:00:00"))
     target = _unstamped(marts.agg_event_type_daily(first_load))
     new = _unstamped(marts.agg_event_type_daily(_from(d.fact, "2024-01-15")))
     return incremental.merge_by_key(target, new, ["event_date", "event_type"])
@@ -734,7 +737,7 @@ def _(d):
 def _(d):
     damaged = d.raw.withColumns(
         {
-            "event_date": F.to_date("ingested_at"),
+            "event_date": utc_date("ingested_at"),
             "event_type": F.when(F.col("event_type") != "DeleteEvent", F.col("event_type")).otherwise(""),
         }
     )
@@ -751,7 +754,7 @@ def _(d):
 
 
 def _data_hours(d: Data) -> DataFrame:
-    hour = F.date_trunc("hour", F.col("created_at"))
+    hour = utc_floor("created_at", 3_600)
     return d.raw.agg(F.min(hour).alias("start_hour"), F.max(hour).alias("end_hour"))
 
 

@@ -18,7 +18,15 @@ EVENT_JSON = T.StructType(
         T.StructField("payload", T.StringType()),
         T.StructField("public", T.BooleanType()),
         T.StructField("created_at", T.TimestampType()),
-        T.StructField("_corrupt", T.StringType()),
+    ]
+)
+
+#: A line inside an object that says where the line has ended: what follows its first JSON value shows.
+EVENT_LINE = T.StructType(
+    [
+        T.StructField("__event", EVENT_JSON),
+        T.StructField("__end", T.BooleanType()),
+        T.StructField("__corrupt", T.StringType()),
     ]
 )
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import EVENT_JSON
+from ..functions import utc_date, utc_hour
+from ..schemas import EVENT_LINE
 
 #: Name of an hourly file, as the file itself or as the folder Spark wrote its parts into.
 FILE_NAME = r"(\d{4}-\d{2}-\d{2}-\d{1,2}\.json\.gz)"
@@ -32,25 +33,29 @@ def scan_event_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Add the parsed ``event`` struct and the ``reject_reason``, NULL for loadable lines.
 
-    ``malformed``: not a JSON object, blank lines included.  ``incomplete``: JSON without an id, a
-    type or a readable created_at.
+    ``malformed``: not a JSON object (blank lines included), more than one, anything after it, or a field
+    of a wrong type.  ``incomplete``: JSON without an id, a type or a created_at.  Times without a zone
+    are UTC.
 
-    The struct is exploded from a one-element array: filters on a plain column would be pushed below
+    A JSON parser stops after the first value, so a line is parsed as part of a larger object, whose last
+    field is only reached if the line was exactly one value.  The struct is exploded from a one-element array: filters on a plain column would be pushed below
     it with a copy of the parse for every mention, so each line would be parsed several times.
     """
-    event = F.from_json("value", EVENT_JSON, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    parsed = lines.select("*", F.explode(F.array(event)).alias("event"))
-    event = F.col("event")
+    whole = F.concat(F.lit('{"__event":'), "value", F.lit(',"__end":true}'))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt", "timeZone": "UTC"}
+    parsed = lines.select("*", F.explode(F.array(F.from_json(whole, EVENT_LINE, options))).alias("__line"))
+    line = F.col("__line")
+    event = line["__event"]
     malformed = (
         F.col("value").isNull()
         | ~F.ltrim("value").startswith("{")
         | event.isNull()
-        | event["_corrupt"].isNotNull()
+        | line["__end"].isNull()
+        | line["__corrupt"].isNotNull()
     )
     incomplete = event["id"].isNull() | event["type"].isNull() | event["created_at"].isNull()
-    return parsed.withColumn(
-        "reject_reason", F.when(malformed, "malformed").when(incomplete, "incomplete")
-    )
+    reason = F.when(malformed, "malformed").when(incomplete, "incomplete")
+    return parsed.select(*[F.col(c) for c in lines.columns], event.alias("event"), reason.alias("reject_reason"))
 
 
 def reject_bad_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -70,7 +75,7 @@ def flatten_events(parsed: DataFrame, *extra: Column) -> DataFrame:
         e["id"].alias("event_id"),
         e["type"].alias("event_type"),
         e["created_at"].alias("created_at"),
-        F.to_date(e["created_at"]).alias("event_date"),
+        utc_date(e["created_at"]).alias("event_date"),
         e["actor"]["id"].alias("actor_id"),
         e["actor"]["login"].alias("actor_login"),
         F.when(~repo_id.isin("0", ""), repo_id).alias("repo_id"),
@@ -84,6 +89,14 @@ def flatten_events(parsed: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
+def _utc_text(instant: str) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss.SSSSSSZ``."""
+    second, micro = F.unix_seconds(instant), F.pmod(F.unix_micros(F.col(instant)), F.lit(1_000_000))
+    minute = F.pmod(F.floor(second / 60), F.lit(60))
+    clock = (utc_date(instant).cast("string"), utc_hour(instant), minute, F.pmod(second, F.lit(60)), micro)
+    return F.format_string("%sT%02d:%02d:%02d.%06dZ", *clock)
+
+
 def event_struct() -> Column:
     """The nested JSON shape of one flat raw row; numeric ids are written as JSON numbers."""
     number = lambda name: F.col(name).try_cast("bigint")
@@ -94,9 +107,10 @@ def event_struct() -> Column:
         F.struct(number("actor_id").alias("id"), F.col("actor_login").alias("login")).alias("actor"),
         F.struct(number("repo_id").alias("id"), F.col("repo_name").alias("name")).alias("repo"),
         F.when(F.col("org_id").isNotNull(), org).alias("org"),
-        F.parse_json("payload").alias("payload"),
+        # of what is no JSON to Spark (a key that repeats, say) the text
+        F.coalesce(F.try_parse_json("payload"), F.col("payload").cast("variant")).alias("payload"),
         F.col("is_public").alias("public"),
-        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"),
+        _utc_text("created_at").alias("created_at"),
     )
 
 

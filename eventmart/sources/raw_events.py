@@ -12,6 +12,10 @@ def scan_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).parquet(path).select(*RAW_COLUMNS)
 
 
+#: The instant of ``ts`` read as UTC; a cast would read it in the session's zone.
+_INSTANT = """timestamp_micros(unix_date(date(ts)) * 86400000000L + hour(ts) * 3600000000L
+    + minute(ts) * 60000000L + bigint(extract(SECOND FROM ts) * 1000000))"""
+
 #: Raw column -> expression over the generic event, its number ``k`` and its ``repo`` (or NULL).
 _RAW_FROM_EVENTS = {
     "event_id": "string(event_id)",
@@ -25,7 +29,7 @@ _RAW_FROM_EVENTS = {
             array('ForkEvent', 'CreateEvent', 'IssueCommentEvent', 'DeleteEvent', 'ReleaseEvent'),
             int(k % 5) + 1)
         END""",
-    "created_at": "timestamp(ts)",
+    "created_at": _INSTANT,
     "event_date": "date(ts)",
     "actor_id": "string(user_id)",
     "actor_login": """
@@ -42,8 +46,8 @@ _RAW_FROM_EVENTS = {
     "is_public": "k % 7 <> 0",
     "payload": "props",
     "source_file": "string(date(ts)) || '-' || hour(ts) || '.json.gz'",
-    "ingested_at": "timestamp(ts) + INTERVAL 2 HOURS",
-    "updated_at": "timestamp(ts) + INTERVAL 2 HOURS",
+    "ingested_at": f"{_INSTANT} + INTERVAL 2 HOURS",
+    "updated_at": f"{_INSTANT} + INTERVAL 2 HOURS",
 }
 
 

@@ -9,9 +9,11 @@ straight from a date-partitioned scan are already grouped by date and are writte
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 PARTITION = "event_date"
 CLUSTERING = ["event_type", "repo_id", "actor_id"]
@@ -42,6 +44,33 @@ def write_by_date(
     else:
         raise ValueError(f"unknown mode {mode!r}")
     writer.parquet(path)
+    _keep_schema(df, path)
+
+
+def _schema_file(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_schema.json")
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _keep_schema(df: DataFrame, path: str) -> None:
+    """Beside the data, since a date-partitioned table without rows has no file to infer it from."""
+    fields = sorted(df.schema.fields, key=lambda f: f.name == PARTITION)  # as the table is read: dates last
+    files, target = _schema_file(df.sparkSession, path)
+    out = files.create(target, True)
+    out.write(bytearray(StructType(fields).json(), "utf-8"))
+    out.close()
+
+
+def read_by_date(spark: SparkSession, path: str) -> DataFrame:
+    """Scan of a table, with the schema it was written with if that is known."""
+    files, target = _schema_file(spark, path)
+    if not files.exists(target):
+        return spark.read.parquet(path)
+    stream = files.open(target)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    schema = StructType.fromJson(json.loads(text))
+    return spark.read.schema(schema).parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -94,7 +123,7 @@ class Warehouse:
         return path_exists(self.spark, self.path(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        return read_by_date(self.spark, self.path(table))
 
     def newest_date(self, table: str) -> dt.date | None:
         """The newest date of a date-partitioned table, without reading its files."""

@@ -12,8 +12,8 @@ _HOURS = """
 _AROUND = _HOURS.replace("min(date_trunc('hour', created_at))", "min(date_trunc('hour', created_at)) - interval 24 hour").replace(
     "max(date_trunc('hour', created_at))", "max(date_trunc('hour', created_at)) + interval 24 hour"
 )
-# An event line spelled out as text: absent values have no key at all.
-_LINE = """
+#: An event line spelled out as text: absent values have no key at all.
+LINE = """
  '{"id":"' || event_id || '","type":"' || event_type || '","actor":{"id":' || actor_id
  || coalesce(',"login":"' || actor_login || '"', '') || '},"repo":{'
  || coalesce('"id":' || repo_id || ',"name":"' || repo_name || '"', '') || '}'
@@ -49,7 +49,9 @@ from (
 )""",
     load_metrics=f"""
 , lines as (
- select source_file, {_LINE} as line, true as good from raw
+ select source_file, {LINE} as line, true as good from raw
+ union all select 'trailing', {LINE} || ' trailing', false from raw
+ union all select 'doubled', {LINE} || {LINE}, false from raw
  union all select 'documents', text, false from documents
  union all select 'props', props, false from events
 )

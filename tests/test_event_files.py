@@ -6,9 +6,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from eventmart.operators import loads
 from eventmart.operators.ranking import head_sample_profile
 from eventmart.plans.ingest import ingest_files
-from eventmart.sources.event_files import flatten_events, parse_lines, reject_bad_lines, scan_event_files
+from eventmart.plans.pipeline import date_state
+from eventmart.plans.staging import staging_events
+from eventmart.sources.event_files import event_lines, flatten_events, parse_lines, reject_bad_lines, scan_event_files
+from eventmart.sources.nested import nested_events
 from eventmart.sources.raw_events import scan_raw
 
 FIRST, LATER = "2026-04-16-10.json.gz", "2026-04-16-11.json.gz"
@@ -43,6 +47,12 @@ LINES = [
     "[1, 2]",
     '"text"',
     event("9", created_at="no date"),
+    event("10") + " trailing",
+    event("11") + event("12"),
+    event("13") + "," + event("14"),
+    event("15") + "]",
+    event("16") + "}",
+    event("17", public="maybe"),
 ]
 
 
@@ -70,6 +80,7 @@ def test_rejects(spark, landing, rows):
         "[1, 2]": "malformed",
         '"text"': "malformed",
         event("9", created_at="no date"): "malformed",
+        **dict.fromkeys(LINES[15:], "malformed"),
         event("absent"): "incomplete",
     }
 
@@ -97,9 +108,9 @@ def test_each_line_is_parsed_once(spark, landing):
 def test_load_is_idempotent_and_audited(spark, landing, tmp_path, rows):
     raw, quarantine = str(tmp_path / "raw"), str(tmp_path / "bad")
     first = ingest_files(spark, str(landing), raw, "2026-04-16 12:00:00", quarantine_path=quarantine)
-    assert (first.rows_inserted, first.rows_failed) == (8, 6)
+    assert (first.rows_inserted, first.rows_failed) == (8, 12)
     assert first.bytes_processed == sum(len(line.encode()) + 1 for line in LINES)
-    assert spark.read.parquet(quarantine).count() == 6
+    assert spark.read.parquet(quarantine).count() == 12
     loaded = rows(scan_raw(spark, raw))
     again = ingest_files(spark, str(landing), raw, "2026-04-16 12:00:00")
     assert again.rows_inserted == 8
@@ -140,3 +151,35 @@ def test_any_file_name_is_kept(spark, tmp_path):
     (tmp_path / "export.json.gz").write_bytes(b"")
     (tmp_path / "export.txt").write_text('{"id": 1}')
     assert [r["source_file"] for r in scan_event_files(spark, str(tmp_path)).collect()] == ["export.txt"]
+
+
+def test_a_payload_with_a_repeated_key_keeps_its_text(make_raw):
+    text = '{"a":1,"a":2}'
+    nested = nested_events(make_raw({"payload": text}, {"payload": '{"b":1}'}))
+    payloads = {r[0] for r in nested.select(F.to_json("payload")).collect()}
+    assert payloads == {json.dumps(text, separators=(",", ":")), '{"b":1}'}
+    assert nested.filter("raw_data is null").count() == 0
+
+
+@pytest.fixture
+def zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    yield lambda name: spark.conf.set("spark.sql.session.timeZone", name)
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_loads_agree_under_any_session_zone(spark, landing, tmp_path, rows, zone):
+    with gzip.open(landing / LATER, "wt", encoding="utf-8") as f:
+        f.write(event("20", created_at="2026-03-08T07:30:00.25Z") + "\n" + event("21", created_at="2026-03-08T02:30:00") + "\n")
+    raw, found = str(tmp_path / "raw"), []
+    for name in ("America/New_York", "UTC", "Asia/Kolkata"):
+        zone(name)
+        ingest_files(spark, str(landing), raw, "2026-04-16 12:00:00")  # again: finds its own keys
+        own = scan_raw(spark, raw)
+        staged = rows(staging_events(own).drop("payload"))
+        hours = rows(loads.hours_to_process(loads.hour_range(spark, "2026-03-08-1", "2026-03-08-9")))
+        due = rows(loads.load_range(own, "2026-04-16 18:20:00"))
+        found.append((rows(own), staged, hours, due, rows(event_lines(own)), date_state(own).orderBy("event_date").collect()))
+    assert found[0] == found[1] == found[2]
+    assert len(found[0][0]) == 10 and [str(r["event_date"]) for r in found[0][0]].count("2026-03-08") == 2
+    assert [r["date_hour"] for r in found[0][2]] == [f"2026-03-08-{h}" for h in range(1, 10)]

@@ -80,6 +80,27 @@ def test_an_event_without_repository_name_warns_but_builds(spark, tmp_path, make
     assert summary.filter("test like '%no_orphan_repo_id' and failures > 0").count() == 1
 
 
+def test_models_without_rows_build(spark, tmp_path, make_raw):
+    warehouse = Warehouse(spark, str(tmp_path / "no-repository"))
+    load(spark, warehouse, make_raw({"repo_id": None, "repo_name": None}))
+    for mode in ("touched", "full", "touched"):
+        counts = build(spark, warehouse, mode)
+        assert (counts["marts.agg_repository_daily"], counts["marts.agg_actor_daily"]) == (0, 1)
+    warehouse = Warehouse(spark, str(tmp_path / "nothing"))
+    write_by_date(make_raw({}).limit(0), warehouse.path(pipeline.RAW_TABLE))
+    assert set(build(spark, warehouse, "touched").values()) == {0}
+    load(spark, warehouse, make_raw({}))
+    assert set(build(spark, warehouse, "touched").values()) == {0, 1}
+    assert Warehouse(spark, warehouse.root).read("marts.agg_repository_daily").count() == 1
+
+
+def test_an_interrupted_first_build_is_simply_run_again(spark, tmp_path, make_raw):
+    warehouse = Warehouse(spark, str(tmp_path))
+    load(spark, warehouse, make_raw({}, {"created_at": dt.datetime(2026, 5, 1, 10)}))
+    (tmp_path / "staging/stg_github_events/_temporary").mkdir(parents=True)
+    assert build(spark, warehouse, "touched")["staging.stg_github_events"] == 2
+
+
 def test_shuffled_fact_path_gives_the_same_table(spark, data, tmp_path, rows, monkeypatch):
     warehouse = Warehouse(spark, str(tmp_path))
     load(spark, warehouse, data.raw.filter("event_date < '2024-01-04'"))

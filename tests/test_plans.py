@@ -2,6 +2,7 @@
 
 import pytest
 
+from eventmart.operators import loads
 from eventmart.plans import cards, marts, staging
 from eventmart.plans.registry import CARDS, QUERIES
 from eventmart.sources.raw_events import scan_raw
@@ -81,3 +82,27 @@ def test_merge_keys_read_no_payload(spark, data, tmp_path):
     write_by_date(data.raw, path)
     stored = scan_raw(spark, path)
     assert "payload" not in plan(merge_match(stored, stored))
+
+
+def test_new_vs_returning_reads_its_window_only(spark, data, tmp_path):
+    path = str(tmp_path / "fact")
+    write_clustered(data.fact, path)
+    own = cards.new_vs_returning(spark.read.parquet(path), "2024-01-31", 7, data.dim_actors)
+    assert "PartitionFilters: [isnotnull(event_date" in plan(own)
+    assert own.collect() == cards.new_vs_returning(data.fact, "2024-01-31", 7).collect()
+
+
+def test_load_planning_prunes_dates(spark, data, tmp_path):
+    path = str(tmp_path / "raw")
+    write_by_date(data.raw, path)
+    raw, newest = scan_raw(spark, path), loads.newest_rows(spark, path)
+    assert loads.last_processed_hour(newest).collect() == loads.last_processed_hour(raw).collect()
+    assert "PartitionFilters: [isnotnull(event_date" in plan(loads.last_processed_hour(newest))
+    assert loads.load_range(newest, "2024-02-01 06:30:00").collect() == loads.load_range(raw, "2024-02-01 06:30:00").collect()
+    explicit = loads.load_range(raw, "2024-02-01", "2024-01-03-0", "2024-01-04-5")
+    assert "FileScan" not in plan(explicit) and explicit.count() == 1
+    gaps = loads.missing_hours(raw, loads.hour_range(spark, "2024-01-03-0", "2024-01-04-5"))
+    assert "PartitionFilters: [isnotnull(event_date" in plan(gaps) and ">= 2024-01-02" in plan(gaps)
+    loads_of_path = spark.createDataFrame([], raw.schema)
+    write_by_date(loads_of_path, str(tmp_path / "none"))
+    assert loads.newest_rows(spark, str(tmp_path / "none")).isEmpty()
