@@ -12,12 +12,15 @@ them is rewritten (other separators, no plus sign) so that the model learns to r
 
 from __future__ import annotations
 
+import heapq
 import re
 from bisect import bisect_right
 from dataclasses import dataclass
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -280,20 +283,27 @@ def train(docs: DataFrame, windows: int = TRAINING_WINDOWS, steps: int = STEPS,
     None if no document has any.
     """
     own = docs.filter(F.rlike("text", F.lit("[0-9@]"))).select("text", F.xxhash64("text").alias("h"))
-    most = own.select("h").orderBy("h").limit(windows // 2).agg(F.max("h")).first()[0]  # hashes only are sorted
+    # hashes only are sorted, of distinct texts
+    most = own.select("h").distinct().orderBy("h").limit(windows // 2).agg(F.max("h")).first()[0]
     sample = own.filter(F.col("h") <= F.lit(most)).dropDuplicates(["h"]).orderBy("h")
-    rng, texts, labels = np.random.default_rng(seed), [], []
-    for row in sample.select("text").toLocalIterator():
-        spans = base_spans(row["text"])
-        for start, end in windows_of(row["text"], _CROP, _CROP // 2)[:4]:
+    rng, drawn = np.random.default_rng(seed), []
+    for number, row in enumerate(sample.select("text").toLocalIterator()):
+        spans, whole = base_spans(row["text"]), []
+        for start, end in windows_of(row["text"], _CROP, _CROP // 2):
             inside = [(k, a - start, b - start) for k, a, b in spans if start <= a and b <= end]
             cut = any(a < end and b > start and not (start <= a and b <= end) for _, a, b in spans)
-            if cut or len(texts) >= windows:
-                continue
-            text, own = _varied(row["text"][start:end], inside, rng)
-            if len(text) <= _CROP + 16:
-                texts.append(text)
-                labels.append(own)
+            if not cut:
+                whole.append((xxhash.xxh64_intdigest(f"{number} {start}"), row["text"][start:end], inside))
+        # a first window of every text, then a second one and so on; which, is a matter of its place's hash
+        drawn += [(rank, number, *x[1:]) for rank, x in enumerate(heapq.nsmallest(2 * windows, whole, key=itemgetter(0)))]
+        if len(drawn) > 8 * windows:
+            drawn = heapq.nsmallest(2 * windows, drawn, key=itemgetter(0, 1))
+    texts, labels = [], []
+    for _, _, text, inside in sorted(drawn, key=itemgetter(0, 1)):
+        text, own = _varied(text, inside, rng)
+        if len(text) <= _CROP + 16 and len(texts) < windows:
+            texts.append(text)
+            labels.append(own)
     if not texts:
         return None
     width = _CROP + 16
