@@ -71,6 +71,15 @@ def _pieces(texts: list[bytes], longest: int, folded: np.ndarray) -> Iterator[tu
         yield _joined(pending, numbers)
 
 
+def _within(n: int, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which n-grams of joined texts lie within one text, and how many each text has."""
+    inside = np.ones(size - n + 1, bool)
+    for back in range(1, n):
+        at = starts[1:] - back
+        inside[at[(at >= 0) & (at < len(inside))]] = False
+    return inside, np.maximum(np.diff(np.append(starts, size)) - n + 1, 0)
+
+
 def _joined(pending: list[np.ndarray], numbers: list[int]):
     lengths = np.array([len(pending[i]) + 2 for i in range(1, len(pending), 3)])
     return np.concatenate(pending), np.cumsum(lengths) - lengths, np.array(numbers)
@@ -85,9 +94,10 @@ def _counter(orders: tuple[int, ...], buckets: int, folded):
             for label in set(labels):
                 own = [texts[i] for i in np.flatnonzero(labels == label)]
                 into = totals.setdefault(label, np.zeros(buckets, np.int64))
-                for points, _, _ in _pieces(own, max(orders), folded()):
-                    for _, grams in _grams(points, orders, buckets):
-                        into += np.bincount(grams, minlength=buckets)
+                for points, starts, _ in _pieces(own, max(orders), folded()):
+                    for n, grams in _grams(points, orders, buckets):
+                        inside, _ = _within(n, starts, len(points))
+                        into += np.bincount(grams[inside], minlength=buckets)
         for label, counts in totals.items():
             used = np.flatnonzero(counts)
             yield pa.record_batch(
@@ -146,11 +156,14 @@ def _scores(model: Model, folded: np.ndarray, texts: list[bytes]) -> np.ndarray:
     total = np.tile(model.prior.astype(np.float64), (len(texts), 1))
     buckets = len(model.weights)
     for points, starts, numbers in _pieces(texts, max(model.orders), folded):
-        for _, grams in _grams(points, model.orders, buckets):
-            inside = np.minimum(starts, len(grams) - 1)
-            for k in range(len(model.languages)):
-                sums = np.add.reduceat(model.weights[:, k][grams], inside, dtype=np.float64)
-                np.add.at(total[:, k], numbers, sums)
+        for n, grams in _grams(points, model.orders, buckets):
+            inside, counts = _within(n, starts, len(points))
+            grams, some = grams[inside], counts > 0
+            begins = (np.cumsum(counts) - counts)[some]
+            for k in range(len(model.languages) if len(begins) else 0):
+                # doubles first: reduceat converts in buffers, whose edges would change the order of adding
+                sums = np.add.reduceat(model.weights[:, k][grams].astype(np.float64), begins)
+                np.add.at(total[:, k], numbers[some], sums)
     return total
 
 
