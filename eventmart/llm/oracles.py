@@ -89,4 +89,26 @@ ORACLES = {
             select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
         ) where rank <= 10
     """,
+    "op12_hard_negatives": """
+        with whole as (
+            select row_number() over () as n, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                [floor(256 * c::double)::bigint for c in embedding] as x
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+                and len([c for c in embedding if c is not null and isfinite(c)]) = len(embedding)
+        ), scored as (
+            select q.n as anchor, q.vec_id as anchor_id, v.n as other, v.vec_id, q.label = v.label as same,
+                coalesce(list_sum([q.x[i] * v.x[i] for i in range(1, len(q.x) + 1)]), 0)::bigint as score
+            from whole q join whole v on q.vec_id % 100 = 0 and q.n <> v.n and len(q.x) = len(v.x)
+        ), positives as (
+            select anchor, anchor_id, other as positive, vec_id as positive_id, score as positive_score from scored
+            where same qualify row_number() over (partition by anchor order by score desc, vec_id) <= 5
+        )
+        select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from (
+            select p.anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+                row_number() over (partition by p.anchor, positive order by score desc, vec_id) as rank
+            from positives p join scored s on p.anchor = s.anchor and not same
+                and 80 * positive_score <= 100 * score and score <= positive_score
+        ) where rank <= 5
+    """,
 }

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from . import (
     decontamination,
+    hard_negatives,
+    i_match,
     language_id,
     mixing,
     pii,
@@ -107,3 +109,16 @@ def op9_vector_search(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_token_count")
 def op10_token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_tokens(table(spark, folder, "documents"), token_count.read_vocabulary(VOCABULARY))
+
+
+@query("op11_i_match")
+def op11_i_match(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return i_match.compare_in_order(docs, i_match.learn_lexicon(docs))
+
+
+@query("op12_hard_negatives")
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
