@@ -111,4 +111,41 @@ ORACLES = {
                 and 80 * positive_score <= 100 * score and score <= positive_score
         ) where rank <= 5
     """,
+    "op13_prefix_trie": """
+        with steps as (
+            select list(list_reduce([b] || range(8), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) order by b) as crc
+            from range(256) t(b)
+        ), turns as (
+            select conv_id, turn, md5(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as k,
+                len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as words
+            from conversations where conv_id is not null
+        ), own as (
+            select conv_id, list({'k': k, 'words': words} order by turn nulls first, k) as turns,
+                (xor(list_reduce([4294967295] || [ascii(c)::bigint for c in string_split(conv_id::varchar, '')],
+                    lambda x, c: xor(x >> 8, crc[xor(x & 255, c) + 1])), 4294967295) % 4)::int as h
+            from turns, steps group by conv_id, crc
+        ), rebuilt as (
+            select o.conv_id, coalesce(b.turns[1:o.h], []) || o.turns[o.h + 1:] as turns
+            from own o left join own b on b.conv_id = o.conv_id - o.conv_id % 20
+        ), paths as (
+            select conv_id, d, len(turns) as length, md5(array_to_string([t.k for t in turns[1:d]], '')) as key,
+                case when d > 0 then md5(array_to_string([t.k for t in turns[1:d - 1]], '')) end as parent,
+                case when d > 0 then turns[d].words else 0 end as words
+            from rebuilt, unnest(range(0, len(turns) + 1)) t(d)
+        ), nodes as (
+            select d, key, any_value(parent) as parent, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words,
+                sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where d = length), '')) as ends_sha256
+            from paths group by d, key
+        ), children as (
+            select d - 1 as d, parent as key, count(*) as n_children from nodes where d > 0 group by all
+        ), sums as (
+            select a.d, a.key, count(*) filter (where c.n_children is null) as n_leaves, sum((n.n_convs - 1) * n.words) as saved_tokens
+            from nodes n left join children c on n.d = c.d and n.key = c.key join paths a on a.conv_id = n.conv_id and a.d <= n.d
+            group by a.d, a.key
+        )
+        select n.conv_id, n.d::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n_children, 0)::bigint as n_children,
+            s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens, n.ends_sha256
+        from nodes n join sums s using (d, key) left join children c using (d, key)
+            left join nodes p on p.d = n.d - 1 and p.key = n.parent
+    """,
 }

@@ -14,6 +14,7 @@ from . import (
     language_id,
     mixing,
     pii,
+    prefix_trie,
     secret_scan,
     simhash,
     substrings,
@@ -122,3 +123,8 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, folder, "embeddings").withColumn("label", moved)
     return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op13_prefix_trie")
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
