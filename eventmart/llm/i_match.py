@@ -116,7 +116,7 @@ def learn_lexicon(docs: DataFrame, least_docs: int = LEAST_DOCS, most_share: flo
     band = counts.filter(F.col("n").between(F.lit(least_docs), F.lit(max(most, float(least_docs)))))
     page = F.shiftright("bucket", _PAGE_BITS)
     place = F.col("bucket").bitwiseAND(F.lit((1 << _PAGE_BITS) - 1))
-    pages = band.groupBy(page.alias("page")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    pages = stage(band.groupBy(page.alias("page")).agg(F.bitmap_construct_agg(place).alias("bits")), "lexicon")
     bits = np.zeros(1 << (BUCKET_BITS - 3), np.uint8)
     size = 1 << (_PAGE_BITS - 3)
     for row in pages.toLocalIterator():
@@ -142,23 +142,29 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
+_DIGITS = ("edited_sha256", "fingerprint", "edited_fingerprint")
+#: Results as tasks give them: hexadecimal digits as bytes, none for the fingerprint of no terms.
 _RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 _FIELDS = pa.schema(
     [("doc_id", pa.int64()), ("n_chars", pa.int64())]
-    + [(n, pa.string()) for n in ("edited_sha256", "fingerprint", "edited_fingerprint")]
+    + [(n, pa.binary()) for n in _DIGITS]
     + [("near_edited", pa.float64()), ("near_next", pa.float64())]
 )
 _ENDS = [("part", pa.int32()), ("first", pa.bool_()), ("text", pa.string())]
 
 
+def _packed(fingerprint: str) -> bytes:
+    return b"" if fingerprint == _NONE else bytes.fromhex(fingerprint)
+
+
 def _compared(lexicon: Lexicon, doc_id, text: str, own: str, following: str, other: str) -> tuple:
     changed = edited(text, following).encode()
-    print_ = lexicon.fingerprint(changed)
-    sha = hashlib.sha256(changed).hexdigest()
-    return doc_id, len(text), sha, own, print_, likeness(own, print_), likeness(own, other)
+    after = lexicon.fingerprint(changed)
+    sha = hashlib.sha256(changed).digest()
+    return doc_id, len(text), sha, _packed(own), _packed(after), likeness(own, after), likeness(own, other)
 
 
 def _chain(shared):
@@ -170,7 +176,7 @@ def _chain(shared):
 
         def end(first: bool) -> tuple:
             doc_id, text, own = held
-            return doc_id, len(text), None, own, None, None, None, part, first, text
+            return doc_id, len(text), None, _packed(own), None, None, None, part, first, text
 
         for batch in batches:
             out = []
@@ -195,13 +201,14 @@ def _turned(rows: list[tuple], kinds: pa.Schema) -> list:
 
 
 def _join_ends(shared):
-    """``doc_id, text, fingerprint`` of a task's last row and text and fingerprint of the row after it to results."""
+    """``doc_id, text`` of a task's last row and ``text`` of the row after it to results."""
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = shared()
         for batch in batches:
             rows = zip(*[c.to_pylist() for c in batch.columns], strict=True)
-            out = _turned([_compared(lexicon, *row) for row in rows], _FIELDS)
+            pairs = [(i, a, lexicon.fingerprint(a.encode()), b, lexicon.fingerprint(b.encode())) for i, a, b in rows]
+            out = _turned([_compared(lexicon, *pair) for pair in pairs], _FIELDS)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _FIELDS, strict=True)], schema=_FIELDS)
 
     return finish
@@ -231,7 +238,9 @@ def compare_in_order(docs: DataFrame, lexicon: Lexicon, order: Column | None = N
     parts = sorted(r["part"] for r in firsts.select("part").collect())  # a number per task
     follows = list(zip(parts, parts[1:] + parts[:1], strict=True))
     after = spark.createDataFrame(follows, "part int, after int")
-    heads = firsts.select(F.col("part").alias("after"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_print"))
+    heads = firsts.select(F.col("part").alias("after"), F.col("text").alias("next_text"))
     tails = found.filter("not first").join(after, "part").join(heads, "after")
-    last = tails.select("doc_id", "text", "fingerprint", "next_text", "next_print").mapInArrow(_join_ends(shared), _RESULT)
-    return found.filter("first is null").select(*names).unionByName(last)
+    last = tails.select("doc_id", "text", "next_text").mapInArrow(_join_ends(shared), _RESULT)
+    whole = found.filter("first is null").select(*names).unionByName(last)
+    digits = {c: F.when(F.length(c) > 0, F.lower(F.hex(c))).otherwise(_NONE) for c in _DIGITS}
+    return whole.withColumns(digits)
