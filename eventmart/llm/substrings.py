@@ -12,8 +12,10 @@ automata are built of what can repeat only, and sent to where it is read:
 4. Every later occurrence of a slice is repeated as a whole.  Marked windows are gathered per document
    and cut out.
 
-An anchor with more than ``SHARD_SLICES`` distinct slices (a common line in ever new surroundings) would
-make too large a shard: its windows are compared one by one, by two 64-bit hashes, in an aggregation.
+A shard with more than ``SHARD_SLICES`` distinct slices (a common line in ever new surroundings) is split: its slices
+are cut again, by the two grams with the least hashes in a window instead of one, then by four and so on.  Equal windows
+still meet, since they pick equal grams; with all grams of a window, only equal windows do.  Equal slices are counted
+once at every level, and what occurs once goes before any join, so shards shrink until automata decide all of them.
 """
 
 from __future__ import annotations
@@ -49,8 +51,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(factors)
 
 
-def slices_of(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Slices of a text: first window, number of windows, hash of the anchor, hash of anchor place and words."""
+def slices_of(words: list[bytes], window: int, gram: int, level: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Slices of a text: first window, number of windows, hash of the anchor, hash of anchor place and words.
+
+    At a higher ``level``, the anchor is made of that many grams, those with the least hashes.
+    """
     n, span = len(words), window - gram + 1
     if n < window:
         none = np.zeros(0, np.int64)
@@ -61,18 +66,28 @@ def slices_of(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray, n
     for i in range(gram):
         grams = grams * np.uint64(_BASE) + hashes[i : n - gram + 1 + i]
     grams = _mixed(grams)
-    least = np.lib.stride_tricks.sliding_window_view(grams, span).min(axis=1)
-    anchor = np.zeros(len(least), np.int64)
-    for i in range(span - 1, -1, -1):  # the first of equal ones
-        np.copyto(anchor, np.arange(i, i + len(least)), where=grams[i : i + len(least)] == least)
-    first = np.flatnonzero(np.diff(anchor, prepend=-1))
+    windows = np.lib.stride_tricks.sliding_window_view(grams, span)
+    if level == 1:
+        key = windows.min(axis=1)
+        anchor = np.zeros(len(key), np.int64)
+        for i in range(span - 1, -1, -1):  # the first of equal ones
+            np.copyto(anchor, np.arange(i, i + len(key)), where=grams[i : i + len(key)] == key)
+        first = np.flatnonzero(np.diff(anchor, prepend=-1))
+    else:
+        least = np.argsort(windows, axis=1, kind="stable")[:, :level]
+        places = least + np.arange(len(windows))[:, None]
+        key = np.full(len(windows), level, np.uint64)
+        for column in np.take_along_axis(windows, least, axis=1).T:
+            key = _mixed(key * np.uint64(_BASE) + column)
+        anchor, places = places[:, 0], np.sort(places, axis=1)
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(places, axis=0) != 0).any(axis=1))))
     count = np.diff(np.concatenate((first, [len(anchor)])))
     powers, back = _powers(_BASE, n), _powers(_INVERSE, n)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1])))
     content = (sums[first + count + window - 1] - sums[first]) * back[first]
     offset = (anchor[first] - first).astype(np.uint64)
     content = _mixed(content + offset * np.uint64(_ROOM) + count.astype(np.uint64))
-    return first, count, least[first], content
+    return first, count, key[first], content
 
 
 _SLICES = "doc_id long, row long, place long, anchor long, content long"
@@ -97,15 +112,19 @@ def _cut_slices(window: int, gram: int):
     return cut
 
 
-_REFERENCES = (
-    "anchor long, content long, doc_id long, place long, row long, words binary, number int, k1 long, k2 long"
-)
+#: A slice of a shard: which distinct slice it is a part of and from which window on; first word, shard, content, words.
+_PART = [("anchor", pa.int64()), ("content", pa.int64()), ("number", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64())]
+_PART += [("row", pa.int64()), ("shard", pa.int64()), ("part", pa.int64()), ("words", pa.binary())]
+_PARTS = "anchor long, content long, number int, doc_id long, start long, row long, shard long, part long, words binary"
+
+
+def _parts(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(_PART)
+    return pa.record_batch([pa.array(c, k) for c, (_, k) in zip(columns, _PART, strict=True)], names=[n for n, _ in _PART])
 
 
 def _read_references(window: int):
-    """Words of wanted slices (number -1); of those of large shards, hashes of the windows one by one."""
-    kinds = [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.int64(), pa.int64()]
-    names = ["anchor", "content", "doc_id", "place", "row", "words", "number", "k1", "k2"]
+    """Words of wanted slices; the shard is the anchor."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,31 +134,41 @@ def _read_references(window: int):
                 words = text.split()
                 for want in wants:
                     first, count = divmod(want["place"], _ROOM)
-                    at = (want["anchor"], want["content"], doc_id, want["place"], row)
-                    if not want["large"]:
-                        out.append((*at, b" ".join(words[first : first + count + window - 1]), -1, 0, 0))
-                        continue
-                    for i in range(count):
-                        own = b" ".join(words[first + i : first + i + window])
-                        k1, k2 = (xxhash.xxh64_intdigest(own, seed) - (1 << 63) for seed in (1, 2))
-                        out.append((*at, b"", i, k1, k2))
-            columns = list(zip(*out, strict=True)) or [()] * len(kinds)
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+                    own = b" ".join(words[first : first + count + window - 1])
+                    out.append((want["anchor"], want["content"], 0, doc_id, first, row, want["anchor"], want["content"], own))
+            yield _parts(out)
 
     return read
 
 
+def _cut_again(window: int, gram: int, level: int):
+    """Slices of shards that are too large to slices of smaller ones."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for anchor, content, number, doc_id, start, row, _, _, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                words = text.split()
+                first, count, shard, part = slices_of(words, window, gram, level)
+                found = zip(first.tolist(), count.tolist(), shard.view(np.int64).tolist(), part.view(np.int64).tolist(), strict=True)
+                for at, n, key, own in found:
+                    out.append((anchor, content, number + at, doc_id, start + at, row, key, own, b" ".join(words[at : at + n + window - 1])))
+            yield _parts(out)
+
+    return cut
+
+
 def _match_shards(window: int):
-    """Slices sorted by anchor and corpus order to the windows of each (bits) that started earlier."""
+    """Slices sorted by shard and corpus order to the windows of each (bits) that started earlier."""
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchor, automaton = None, SuffixAutomaton()
+        shard, automaton = None, SuffixAutomaton()
         for batch in batches:
-            anchors, texts = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            shards, numbers, texts = (batch.column(i).to_pylist() for i in (0, 3, 4))
             masks = []
-            for own, text in zip(anchors, texts, strict=True):
-                if own != anchor:
-                    anchor, automaton = own, SuffixAutomaton()
+            for own, number, text in zip(shards, numbers, texts, strict=True):
+                if own != shard:
+                    shard, automaton = own, SuffixAutomaton()
                 words = text.split()
                 state = matched = mask = 0
                 for i, word in enumerate(words):
@@ -148,9 +177,9 @@ def _match_shards(window: int):
                         mask |= 1 << (i + 1 - window)
                 if mask.bit_count() < len(words) - window + 1:
                     automaton.add(words)
-                masks.append(mask)
+                masks.append(mask << number)
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(masks, pa.int64())], names=["anchor", "content", "mask"]
+                [batch.column(1), batch.column(2), pa.array(masks, pa.int64())], names=["anchor", "content", "mask"]
             )
 
     return match
@@ -161,25 +190,43 @@ def _order(at: Column) -> Column:
     return F.struct("doc_id", at.alias("at"), "row")
 
 
-def _started_earlier(rows: DataFrame, slices: DataFrame, window: int, shard_slices: int) -> DataFrame:
+def _started_earlier(rows: DataFrame, slices: DataFrame, window: int, gram: int, shard_slices: int) -> DataFrame:
     """For slices of anchors that have several: anchor, content, mask of the windows that started earlier."""
-    want = F.struct("anchor", "content", F.col("first.at").alias("place"), (F.col("several") > shard_slices).alias("large"))
+    want = F.struct("anchor", "content", F.col("first.at").alias("place"))
     wanted = slices.filter("several > 1").groupBy(F.col("first.row").alias("row")).agg(F.collect_list(want).alias("wanted"))
     texts = rows.join(wanted, "row").dropDuplicates(["row"]).select("doc_id", "row", "text", "wanted")
-    found = stage(texts.mapInArrow(_read_references(window), _REFERENCES), "references")
-    shards = found.filter("number < 0").repartition("anchor").sortWithinPartitions("anchor", "doc_id", "place", "row")
-    matched = shards.select("anchor", "content", "words").mapInArrow(
+    parts = stage(texts.mapInArrow(_read_references(window), _PARTS), "references")
+    sizes = slices.filter("several > 1").select(F.col("anchor").alias("shard"), F.col("several").alias("n")).distinct()
+    ready, repeated, level, span = [], [], 1, window - gram + 1
+    while True:
+        too_large = stage(sizes.filter((F.col("n") > shard_slices) & F.lit(level < span)).select("shard"), "large")
+        if not too_large.head(1):
+            ready.append(parts)
+            break
+        ready.append(parts.join(too_large, "shard", "left_anti"))
+        level = min(2 * level, span)
+        rest = parts.join(too_large, "shard", "left_semi").select(*[n for n, _ in _PART])
+        cut = stage(rest.mapInArrow(_cut_again(window, gram, level), _PARTS), "cut")
+        place = F.struct("doc_id", "start", "row")
+        firsts = stage(cut.groupBy("shard", "part").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("equal")), "firsts")
+        sizes = stage(firsts.groupBy("shard").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        # of equal slices the first one is compared, the others started earlier as a whole; what is alone goes
+        again = cut.join(firsts.filter("equal > 1").drop("equal"), ["shard", "part"]).filter(place > F.col("first"))
+        windows = F.size(F.split(F.col("words").cast("string"), " ")) - (window - 1)
+        repeated.append(again.select("anchor", "content", "number", windows.alias("windows")))
+        kept = cut.join(firsts.join(sizes.filter("n > 1").select("shard"), "shard").drop("equal"), ["shard", "part"])
+        parts = stage(kept.filter(place == F.col("first")).select(*[n for n, _ in _PART]), "parts")
+    shards = ready[0]
+    for other in ready[1:]:
+        shards = shards.unionByName(other)
+    shards = shards.repartition("shard").sortWithinPartitions("shard", "doc_id", "start", "row")
+    masks = shards.select("shard", "anchor", "content", "number", "words").mapInArrow(
         _match_shards(window), "anchor long, content long, mask long"
     )
-    start = F.floor(F.col("place") / _ROOM) + F.col("number")
-    single = found.filter("number >= 0").withColumn("at", _order(start))
-    first = single.groupBy("k1", "k2").agg(F.min("at").alias("least"))
-    compared = salted_join(single, first, ["k1", "k2"], F.col("row"), "inner").select(
-        "anchor",
-        "content",
-        F.when(F.col("least") < F.col("at"), F.expr("shiftleft(1L, number)")).otherwise(F.lit(0)).alias("mask"),
-    )
-    return matched.unionByName(compared).groupBy("anchor", "content").agg(F.bit_or("mask").alias("mask"))
+    for again in repeated:
+        whole = F.expr("shiftleft(shiftleft(1L, windows) - 1L, number)")
+        masks = masks.unionByName(again.select("anchor", "content", whole.alias("mask")))
+    return masks.groupBy("anchor", "content").agg(F.bit_or("mask").alias("mask"))
 
 
 def _stretches(rows: DataFrame, window: int, gram: int, shard_slices: int) -> DataFrame:
@@ -191,7 +238,7 @@ def _stretches(rows: DataFrame, window: int, gram: int, shard_slices: int) -> Da
     slices = stage(slices, "distinct")
     several = slices.groupBy("anchor").agg(F.count(F.lit(1)).alias("several"))
     slices = stage(salted_join(slices, several, ["anchor"], F.col("content"), "inner", 4), "shards", drop=(slices,))
-    earlier = _started_earlier(rows, slices, window, shard_slices)
+    earlier = _started_earlier(rows, slices, window, gram, shard_slices)
     marked = slices.join(earlier, ["anchor", "content"], "left").withColumn("mask", F.coalesce("mask", F.lit(0)))
     marked = marked.filter("n > 1 or mask != 0").select("anchor", "content", "first", "mask")
     bits = F.filter(F.sequence(F.lit(0), F.col("place") % _ROOM - 1), lambda i: F.getbit("mask", i.cast("int")) == 1)

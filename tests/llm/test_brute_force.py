@@ -109,7 +109,7 @@ def test_fingerprints_and_components(spark, texts, block):
     assert found == {i: (f"{p:016x}", least[w]) for (i, _), p, w in zip(own, prints, want, strict=True)}
 
 
-@pytest.mark.parametrize("shard_slices", [1, 1000])
+@pytest.mark.parametrize("shard_slices", [1, 2, 10, 1000])
 def test_substrings(spark, shard_slices):
     rng, window = random.Random(8), 6
     line = "a common line of seven plain words".split()
