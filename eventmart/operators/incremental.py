@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import as_of_date
 from ..functions.calendar import AsOf
 from ..schemas import INCREMENTAL_FLOOR
+from ..sources.manifest import LoadManifest
 from ..sources.tables import date_folders, delete_folder
 from .filters import trailing_days
 
@@ -70,6 +71,9 @@ def drop_expired_partitions(
     expired = {date: folder for date, folder in date_folders(spark, path).items() if date < cutoff}
     for folder in expired.values():
         delete_folder(spark, folder)
+    manifest = LoadManifest(spark, path)
+    if expired and manifest.exists():
+        manifest.note_dates(sorted(expired))
     return sorted(expired)
 
 

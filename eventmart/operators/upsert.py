@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from ..functions import as_of_timestamp
 from ..functions.calendar import AsOf
 from ..schemas import FLAT_COLUMNS, RAW_COLUMNS, RAW_KEY
+from ..sources.manifest import LoadManifest
 from ..sources.raw_events import scan_raw
+from ..sources.scratch import staged
 from ..sources.tables import path_exists, write_by_date
 from .ranking import first_per_key
 
@@ -97,19 +99,30 @@ def upsert_raw(
     """Upsert flat rows into the raw table at ``path``; returns the number of keys written.
 
     Running it again with the same batch gives the same table, so a load that was cut short is
-    simply run again.  One writer at a time.  ``batch`` is scanned three times: stage it first if it
-    is costly to compute.
+    simply run again.  One writer at a time.  ``batch`` is scanned several times: stage it first if it
+    is costly to compute.  The load's files and dates are noted in the table's manifest before and after.
     """
     batch = batch.select(*FLAT_COLUMNS)
     affected = batch.select(*RAW_KEY).distinct().count()
     if not affected:
         return 0
+    touched = batch.groupBy("source_file", "event_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    with staged(touched, "touched") as touched:
+        manifest = LoadManifest(spark, path)
+        manifest.note(touched, False, run_at)
+        _write_batch(spark, path, batch, _dates(touched), run_at, update_columns)
+        manifest.note(touched, True, run_at)
+    return affected
+
+
+def _write_batch(
+    spark: SparkSession, path: str, batch: DataFrame, arriving: list[dt.date], run_at: AsOf, update_columns: Sequence[str]
+) -> None:
     if not path_exists(spark, path):
         write_by_date(stamp(dedupe_batch(batch), run_at), path, "append")
-        return affected
+        return
 
     in_dates = lambda df, dates: df.filter(F.col("event_date").isin(dates))
-    arriving = _dates(batch)
     existing = in_dates(scan_raw(spark, path), arriving)
     rewritten = _dates(merge_match(existing, batch))
     fresh = [d for d in arriving if d not in set(rewritten)]
@@ -118,4 +131,3 @@ def upsert_raw(
         write_by_date(merged, path, "replace_dates")
     if fresh:
         write_by_date(stamp(dedupe_batch(in_dates(batch, fresh)), run_at), path, "append")
-    return affected

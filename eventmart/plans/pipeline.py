@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import AsOf
 from ..operators.checks import quality_gate, run_checks, source_freshness
 from ..operators.incremental import incremental_filter
+from ..sources.manifest import LoadManifest
 from ..sources.raw_events import scan_raw
 from ..sources.scratch import staged
 from ..sources.seeds import event_categories
@@ -47,6 +48,10 @@ def _together(*builds: Callable[[], None]) -> None:
         build.result()
 
 
+ACTIVITY = "staging.activity_days"
+#: The number of the last note of the raw table's manifest that a finished build has seen.
+BUILD_PROGRESS = "staging.build_progress"
+#: Instead of that, for a raw table without a manifest: a checksum per date.
 BUILD_STATE = "staging.build_state"
 _STATE = "event_date date, n_rows long, newest timestamp, stamps long"
 
@@ -70,8 +75,31 @@ def touched_dates(warehouse: Warehouse, state: DataFrame) -> list[dt.date]:
     return [r[0] for r in either.join(same, "event_date", "left_anti").collect()]
 
 
+def noted_dates(warehouse: Warehouse, upto: int) -> list[dt.date]:
+    """Dates that loads have touched since the last finished build, from the raw table's manifest; all dates if
+    there was none.  No event is read."""
+    raw = warehouse.path(RAW_TABLE)
+    if warehouse.exists(f"{BUILD_PROGRESS}/_SUCCESS"):
+        seen = warehouse.read(BUILD_PROGRESS).first()["load"]
+        return LoadManifest(warehouse.spark, raw).dates(seen, upto)
+    built = warehouse.path("staging.stg_github_events") if warehouse.exists("staging.stg_github_events") else raw
+    return sorted({*date_folders(warehouse.spark, raw), *date_folders(warehouse.spark, built)})
+
+
+def _to_build(spark: SparkSession, warehouse: Warehouse) -> tuple[list[dt.date], Callable[[], None]]:
+    """Touched dates as of now, and what notes them as built once the build has finished.  What a load adds
+    meanwhile belongs to the next build."""
+    manifest = LoadManifest(spark, warehouse.path(RAW_TABLE))
+    if manifest.exists():
+        newest = manifest.newest()
+        progress = spark.createDataFrame([(newest,)], "load long")
+        return noted_dates(warehouse, newest), lambda: write_table(progress, warehouse.path(BUILD_PROGRESS))
+    state = spark.createDataFrame(date_state(scan_raw(spark, warehouse.path(RAW_TABLE))).collect(), _STATE)
+    return touched_dates(warehouse, state), lambda: write_table(state, warehouse.path(BUILD_STATE))
+
+
 def _drop_emptied(warehouse: Warehouse, table: str, dates: list[dt.date] | None, built: DataFrame) -> None:
-    """Replacing dates leaves a date alone that has no rows any more; ``built`` has the rows of ``dates``."""
+    """Replacing dates leaves a date alone that has no rows any more; ``built`` has rows on those of ``dates`` that do."""
     if not dates or not warehouse.exists(table):
         return
     left = {r[0] for r in built.select("event_date").distinct().collect()}
@@ -111,9 +139,10 @@ def build_staging(
     lookback_days: int = 7,
     dates: list[dt.date] | None = None,
 ) -> None:
-    """Staged events, in full or for the newest dates, and the three entity models in full.
+    """Staged events and their activity days, in full or for some dates, and the three entity models.
 
-    Staging is row-wise over a date-partitioned table, so it is written without a shuffle.
+    Staging is row-wise over a date-partitioned table, so it is written without a shuffle.  The entity models merge
+    the activity days of all dates; of the events, only the dates that are built are read.
     """
     table = "staging.stg_github_events"
     source = scan_raw(spark, warehouse.path(RAW_TABLE))
@@ -122,10 +151,13 @@ def build_staging(
     )
     _drop_emptied(warehouse, table, dates, staged_rows)
     write_by_date(staged_rows, warehouse.path(table), write_mode, rebalance=False)
-    events = warehouse.read(table)
+    events, write_mode = _pending(warehouse, ACTIVITY, warehouse.read(table), mode, lookback_days, dates)
+    _drop_emptied(warehouse, ACTIVITY, dates, events)
+    write_by_date(staging.activity_days(events), warehouse.path(ACTIVITY), write_mode)
+    days = warehouse.read(ACTIVITY)
 
     def build(model: str) -> None:
-        write_table(getattr(staging, model)(events), warehouse.path(f"staging.{model}"))
+        write_table(getattr(staging, model)(days), warehouse.path(f"staging.{model}"))
 
     def seed() -> None:
         write_table(event_categories(spark), warehouse.path("seeds.event_type_categories"))
@@ -173,21 +205,27 @@ def build_marts(
     def build_daily(name: str) -> None:
         fact = warehouse.read("marts.fct_github_events")
         events, write_mode = _pending(warehouse, f"marts.{name}", fact, mode, lookback_days, dates)
-        daily = getattr(marts, name)(events, run_at)
-        _drop_emptied(warehouse, f"marts.{name}", dates, daily)
-        write_by_date(daily, warehouse.path(f"marts.{name}"), write_mode)
+        counted = events.filter("repo_id is not null") if name == "agg_repository_daily" else events
+        _drop_emptied(warehouse, f"marts.{name}", dates, counted)
+        write_by_date(getattr(marts, name)(events, run_at), warehouse.path(f"marts.{name}"), write_mode)
 
     dimensions = [partial(build_dimension, *pair) for pair in zip(DIMENSIONS, STAGING, strict=True)]
     _together(partial(build_fact, warehouse, run_at, mode, lookback_days, dates), *dimensions)
     _together(*[partial(build_daily, name) for name in DAILY])
 
 
-def check_staging(spark: SparkSession, warehouse: Warehouse, as_of: AsOf = None) -> DataFrame:
+def check_staging(
+    spark: SparkSession, warehouse: Warehouse, as_of: AsOf = None, dates: list[dt.date] | None = None
+) -> DataFrame:
+    """Tests of the raw rows (of ``dates``, if given: the others were tested when they were built) and of staging."""
     read = warehouse.read
+    raw = scan_raw(spark, warehouse.path(RAW_TABLE))
+    if dates is not None:
+        raw = raw.filter(F.col("event_date").isin(dates))
     suites = staging_suites(
         read("staging.stg_github_events"), *[read(f"staging.{n}") for n in STAGING], as_of=as_of
     )
-    return run_checks([source_suite(scan_raw(spark, warehouse.path(RAW_TABLE))), *suites])
+    return run_checks([source_suite(raw), *suites])
 
 
 def check_marts(warehouse: Warehouse) -> DataFrame:
@@ -214,30 +252,35 @@ def build_all(
 ) -> DataFrame:
     """Build everything from ``raw.github_events``; returns (table_name, row_count).
 
-    ``mode``: ``touched`` builds every date again whose raw rows changed since the last finished build,
-    however old, and drops dates that have become empty; ``full`` rebuilds; ``lookback`` builds the newest ``lookback_days`` dates again;
+    ``mode``: ``touched`` builds every date again that a load has touched since the last finished build,
+    however old, and drops dates that have become empty; touched dates come from the raw table's manifest (from
+    checksums over all of it, if it was written without one); ``full`` rebuilds; ``lookback`` builds the newest ``lookback_days`` dates again;
     ``strict`` rebuilds staging and adds only new dates to the marts.  With ``gate``, a stale source
     or a failing staging test stops the build before the marts, and a failing mart test raises at the
     end.
     """
     if gate:
-        raw = scan_raw(spark, warehouse.path(RAW_TABLE))
-        if source_freshness(raw, as_of=as_of).first()["status"] == "error":
+        if load_freshness(spark, warehouse, as_of).first()["status"] == "error":
             raise StaleSourceError("raw.github_events has not been loaded recently")
-    state = None
-    if mode == "touched":  # as it is now; what a load adds meanwhile belongs to the next build
-        state = spark.createDataFrame(date_state(scan_raw(spark, warehouse.path(RAW_TABLE))).collect(), _STATE)
-    dates = touched_dates(warehouse, state) if state is not None else None
+    dates, note_built = _to_build(spark, warehouse) if mode == "touched" else (None, None)
     build_staging(spark, warehouse, "full" if mode == "strict" else mode, lookback_days, dates)
-    _finish_layer(check_staging(spark, warehouse, as_of), warehouse, "staging_summary", gate)
+    _finish_layer(check_staging(spark, warehouse, as_of, dates), warehouse, "staging_summary", gate)
     build_marts(warehouse, run_at, mode, lookback_days, dates)
     write_table(check_references(warehouse), warehouse.path("test_results.references_summary"))
     _finish_layer(check_marts(warehouse), warehouse, "marts_summary", gate)
-    if state is not None:
-        write_table(state, warehouse.path(BUILD_STATE))
+    if note_built:
+        note_built()
     return table_counts(warehouse)
 
 
+def load_freshness(spark: SparkSession, warehouse: Warehouse, as_of: AsOf = None) -> DataFrame:
+    """Verdict on the age of the newest load, from the manifest; without one, from the load stamps of all raw rows."""
+    manifest = LoadManifest(spark, warehouse.path(RAW_TABLE))
+    if manifest.exists():
+        return source_freshness(manifest.loads(), "loaded_at", as_of=as_of)
+    return source_freshness(scan_raw(spark, warehouse.path(RAW_TABLE)), as_of=as_of)
+
+
 def _finish_layer(summary: DataFrame, warehouse: Warehouse, name: str, gate: bool) -> None:
     write_table(summary, warehouse.path(f"test_results.{name}"))
     if gate:

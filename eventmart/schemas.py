@@ -21,11 +21,10 @@ EVENT_JSON = T.StructType(
     ]
 )
 
-#: A line inside an object that says where the line has ended: what follows its first JSON value shows.
+#: A line as the first of two elements of a list; the second one tells where the line has ended.
 EVENT_LINE = T.StructType(
     [
-        T.StructField("__event", EVENT_JSON),
-        T.StructField("__end", T.BooleanType()),
+        T.StructField("__line", T.ArrayType(T.StructType([*EVENT_JSON, T.StructField("__end", T.StringType())]))),
         T.StructField("__corrupt", T.StringType()),
     ]
 )

@@ -37,21 +37,25 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     of a wrong type.  ``incomplete``: JSON without an id, a type or a created_at.  Times without a zone
     are UTC.
 
-    A JSON parser stops after the first value, so a line is parsed as part of a larger object, whose last
-    field is only reached if the line was exactly one value.  The struct is exploded from a one-element array: filters on a plain column would be pushed below
-    it with a copy of the parse for every mention, so each line would be parsed several times.
+    A JSON parser stops after the first value, so a line is parsed as the first element of a list whose second and last
+    one holds a hash of the line: no text after the value can stand in for it, or add an element or a field, without
+    the list being longer, broken or without the hash.  The struct is exploded from a one-element array: filters on a
+    plain column would be pushed below it with a copy of the parse for every mention, so each line would be parsed
+    several times.
     """
-    whole = F.concat(F.lit('{"__event":'), "value", F.lit(',"__end":true}'))
+    mark = F.xxhash64("value").cast("string")
+    whole = F.concat(F.lit('{"__line":['), "value", F.lit(',{"__end":"'), mark, F.lit('"}]}'))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt", "timeZone": "UTC"}
-    parsed = lines.select("*", F.explode(F.array(F.from_json(whole, EVENT_LINE, options))).alias("__line"))
-    line = F.col("__line")
-    event = line["__event"]
+    parsed = lines.select("*", F.explode(F.array(F.from_json(whole, EVENT_LINE, options))).alias("__parsed"))
+    elements = F.col("__parsed.__line")
+    event = F.get(elements, F.lit(0)).dropFields("__end")
+    alone = (F.size(elements) == 2) & (F.get(elements, F.lit(1))["__end"] == mark)
     malformed = (
         F.col("value").isNull()
         | ~F.ltrim("value").startswith("{")
         | event.isNull()
-        | line["__end"].isNull()
-        | line["__corrupt"].isNotNull()
+        | ~F.coalesce(alone, F.lit(False))
+        | F.col("__parsed.__corrupt").isNotNull()
     )
     incomplete = event["id"].isNull() | event["type"].isNull() | event["created_at"].isNull()
     reason = F.when(malformed, "malformed").when(incomplete, "incomplete")

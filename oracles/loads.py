@@ -21,7 +21,45 @@ LINE = """
  || ',"payload":' || replace(payload, ' ', '') || ',"public":' || cast(is_public as varchar)
  || ',"created_at":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}'"""
 
+def _entities(model: str, daily: bool, key: str, name: str, first: str, second: str, where: str = "true") -> str:
+    """One model after the three loads: the name from a ranking, distinct values counted one by one."""
+    by = f"event_date, {key}" if daily else key
+    picked = f"""
+  select {by}, {name} as entity_name from changed where {where} and {name} is not null
+  qualify row_number() over (partition by {by} order by {name} desc) = 1"""
+    values = lambda c: f"select {by}, count(*) as n from (select distinct {by}, {c} from changed where {where} and {c} is not null) group by {by}"
+    using = "event_date, k" if daily else "k"
+    renamed = lambda q: f"(select {'event_date, ' if daily else ''}{key} as k, * exclude ({by}) from ({q}))"
+    counted = f"""select {by}, count(*) as total_events, min(created_at) as first_seen_at, max(created_at) as last_seen_at
+  from changed where {where} group by {by}"""
+    seen = "null::bigint as active_days, null::timestamp as first_seen_at, null::timestamp as last_seen_at"
+    if not daily:
+        seen = "d.n as active_days, first_seen_at, last_seen_at"
+    return f"""
+ select '{model}' as model, {"event_date" if daily else "null::date as event_date"}, k as entity_id, entity_name, total_events,
+  coalesce(a.n, 0) as distinct_1, coalesce(b.n, 0) as distinct_2, {seen}
+ from {renamed(counted)} left join {renamed(picked)} using ({using})
+  left join {renamed(values(first))} a using ({using}) left join {renamed(values(second))} b using ({using})
+  {"" if daily else f"left join {renamed(values('event_date'))} d using (k)"}"""
+
+
+_INCREMENTAL = f"""
+, updated as (select * replace (case when event_date = DATE '2024-01-22' then 'DeleteEvent' else event_type end as event_type) from raw),
+changed as (select * from updated where actor_login is not null and event_type <> 'DeleteEvent')
+{_entities("staging.stg_actors", False, "actor_id", "actor_login", "repo_id", "event_type")}
+union all {_entities("staging.stg_repositories", False, "repo_id", "repo_name", "actor_id", "event_type", "repo_id is not null and repo_name is not null")}
+union all {_entities("staging.stg_organizations", False, "org_id", "org_login", "repo_id", "actor_id", "org_id is not null and org_login is not null")}
+union all {_entities("marts.agg_repository_daily", True, "repo_id", "repo_name", "actor_id", "event_type", "repo_id is not null")}
+union all {_entities("marts.agg_actor_daily", True, "actor_id", "actor_login", "repo_id", "event_type")}
+union all select * replace (null::varchar as entity_name) from ({_entities("marts.agg_event_type_daily", True, "event_type", "event_type", "actor_id", "repo_id")})"""
+
+
+#: The same with one of six things after it.
+TRAILING = f"""{LINE} || [' trailing', ',"x":1', ',"__end":true', ']}}', ',{{"__end":""}}', ',"__line":[' || {LINE}]
+ [length({LINE}) % 6 + 1]"""
+
 SQL = sql_map(
+    incremental_build=_INCREMENTAL,
     hours_to_process=f"{_HOURS} select h as hour, {_HOUR} as date_hour from hours",
     last_processed_hour="""
 select source_file, strptime(replace(source_file, '.json.gz', ''), '%Y-%m-%d-%H') as last_hour
@@ -50,7 +88,7 @@ from (
     load_metrics=f"""
 , lines as (
  select source_file, {LINE} as line, true as good from raw
- union all select 'trailing', {LINE} || ' trailing', false from raw
+ union all select 'trailing', {TRAILING}, false from raw
  union all select 'doubled', {LINE} || {LINE}, false from raw
  union all select 'documents', text, false from documents
  union all select 'props', props, false from events

@@ -1,7 +1,7 @@
 """Sources, sinks, projections, filters, upserts and joins."""
 
 from .base import FLAT, NOW, RAW_COLUMNS, RELOAD, SHOWN, SIZES, actors_of, sql_map, tiers
-from .loads import LINE
+from .loads import LINE, TRAILING
 
 # The category lookup.
 _SEEDS = """(values
@@ -59,7 +59,7 @@ SQL = sql_map(
 select source_file, event_id as id, event_type as type, actor_login, repo_name, is_public, created_at
 from raw""",
     reject_bad_lines=f"""
-select 'trailing' as source_file, 'malformed' as reject_reason, md5({LINE} || ' trailing') as line_md5 from raw
+select 'trailing' as source_file, 'malformed' as reject_reason, md5({TRAILING}) as line_md5 from raw
 union all
 select 'doubled', 'malformed', md5({LINE} || {LINE}) from raw
 union all

@@ -183,3 +183,13 @@ def test_loads_agree_under_any_session_zone(spark, landing, tmp_path, rows, zone
     assert found[0] == found[1] == found[2]
     assert len(found[0][0]) == 10 and [str(r["event_date"]) for r in found[0][0]].count("2026-03-08") == 2
     assert [r["date_hour"] for r in found[0][2]] == [f"2026-03-08-{h}" for h in range(1, 10)]
+
+
+def test_nothing_after_an_event_gets_in(spark):
+    good = '{"id":"1","type":"PushEvent","created_at":"2024-01-10T12:00:00Z"}'
+    other = good.replace('"1"', '"2"')
+    rests = [",\"x\":1", ',"__end":true', f',"__event":{other}', f',"__line":[{other}', other, f",{other}", "] junk", " junk", "]}", '],"x":[1', ',{"__end":"1"}', ',{"__end":""}']
+    lines = [good, f"  {good} ", good[:-1] + ',"__end":"x"}', good[:-1] + ',"__line":[1]}', *[good + r for r in rests]]
+    parsed = parse_lines(spark.createDataFrame([(line, "f") for line in lines], "value string, source_file string")).collect()
+    assert [r["reject_reason"] for r in parsed] == [None] * 4 + ["malformed"] * len(rests)
+    assert {r["event"]["id"] for r in parsed[:4]} == {"1"}
