@@ -1,8 +1,8 @@
 """Idempotent upsert into the date-partitioned raw table.
 
-Plain parquet has no MERGE, so a batch is routed per date: dates where some key already exists are
-merged and rewritten, all other dates are appended to.  Hourly files normally hold new events only,
-so the usual load appends and rewrites nothing.
+Plain parquet has no MERGE, so a batch is routed: the files in which some of its keys already are get merged with it
+and replaced, everything else is appended.  Hourly files normally hold new events only, so the usual load appends and
+rewrites nothing, and one event delivered again costs its own file, not its date.
 """
 
 from __future__ import annotations
@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions import as_of_timestamp
 from ..functions.calendar import AsOf
-from ..schemas import FLAT_COLUMNS, RAW_COLUMNS, RAW_KEY
+from ..schemas import FLAT_COLUMNS, RAW, RAW_COLUMNS, RAW_KEY
 from ..sources.manifest import LoadManifest
-from ..sources.raw_events import scan_raw
 from ..sources.scratch import staged
-from ..sources.tables import path_exists, write_by_date
+from ..sources.tables import PARTITION, finish_replacement, path_exists, replace_files, write_by_date
 from .ranking import first_per_key
 
 #: Columns a re-delivered event may change.  created_at and ingested_at keep their first value.
@@ -123,11 +122,28 @@ def _write_batch(
         return
 
     in_dates = lambda df, dates: df.filter(F.col("event_date").isin(dates))
-    existing = in_dates(scan_raw(spark, path), arriving)
-    rewritten = _dates(merge_match(existing, batch))
+    finish_replacement(spark, path)
+    files = matched_files(in_dates(stored_rows(spark, path), arriving), batch)
+    rewritten = sorted({r["event_date"] for r in files})
     fresh = [d for d in arriving if d not in set(rewritten)]
-    if rewritten:
-        merged = merge_batch(in_dates(existing, rewritten), in_dates(batch, rewritten), run_at, update_columns)
-        write_by_date(merged, path, "replace_dates")
+    if files:
+        jvm = spark._jvm
+        # the metadata column has the path as an address, with %20 for a space
+        names = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["file"])).toString() for r in files]
+        existing = spark.read.schema(RAW).option("basePath", path).parquet(*names).select(*RAW_COLUMNS)
+        merged = merge_batch(existing, in_dates(batch, rewritten), run_at, update_columns)
+        replace_files(merged.hint("rebalance", PARTITION), path, names, partition=PARTITION)
     if fresh:
         write_by_date(stamp(dedupe_batch(in_dates(batch, fresh)), run_at), path, "append")
+
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Keys of the raw table with the file each one is in."""
+    rows = spark.read.schema(RAW).parquet(path)
+    return rows.select(*RAW_KEY, F.col("_metadata.file_path").alias("file"))
+
+
+def matched_files(stored: DataFrame, batch: DataFrame) -> list:
+    """Rows (event_date, file) of the files that hold a key of the batch: at most one per file of its dates."""
+    hit = stored.join(batch.select(*RAW_KEY), RAW_KEY, "left_semi")
+    return hit.select("event_date", "file").distinct().collect()

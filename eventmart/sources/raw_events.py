@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import RAW, RAW_COLUMNS
+from .tables import finish_replacement
 
 
 def scan_raw(spark: SparkSession, path: str) -> DataFrame:
     """Scan of the stored raw table; filters on event_date prune its folders."""
+    finish_replacement(spark, path)
     return spark.read.schema(RAW).parquet(path).select(*RAW_COLUMNS)
 
 

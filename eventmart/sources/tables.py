@@ -4,12 +4,17 @@ Rows that come out of a shuffle are written through ``REBALANCE(event_date)``: a
 cuts an oversized date into several tasks and packs small dates together, so a date that holds a
 third of all rows is not one task, and small dates do not leave one file per task.  Rows that come
 straight from a date-partitioned scan are already grouped by date and are written as they are.
+
+Nothing is deleted before what replaces it is there: new files are written into a hidden folder of the table, a record
+of the files they replace is put beside them, and only then are they moved in and the old ones deleted.  The record
+decides: before it the table is the old one, after it whoever reads or writes the table next finishes the switch first.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,46 +41,132 @@ def write_by_date(
     shaped = df.hint("rebalance", PARTITION) if rebalance else df
     if cluster_by:
         shaped = shaped.sortWithinPartitions(PARTITION, *cluster_by)
-    writer = shaped.write.partitionBy(PARTITION)
-    if mode == "replace_dates":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    elif mode in ("overwrite", "append"):
-        writer = writer.mode(mode).option("partitionOverwriteMode", "static")
+    if mode == "append":
+        finish_replacement(df.sparkSession, path)
+        shaped.write.partitionBy(PARTITION).mode("append").parquet(path)
+    elif mode in ("overwrite", "replace_dates"):
+        replace_files(shaped, path, None, mode == "replace_dates", PARTITION)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    writer.parquet(path)
     _keep_schema(df, path)
 
 
-def _schema_file(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_schema.json")
+_NEW, _RECORD = "_new-", "_replace-"
+
+
+def _files(spark: SparkSession, path: str):
+    """File system of a path, and the path as its class."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def _data_files(files, folder) -> list[str]:
+    """Files below a folder that readers see."""
+    found, open_ = [], [folder]
+    while open_:
+        at = open_.pop()
+        for status in files.listStatus(at) if files.exists(at) else []:
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if status.isDirectory():
+                open_.append(status.getPath())
+            else:
+                found.append(status.getPath().toString())
+    return found
+
+
+def _write_text(files, target, text: str) -> None:
+    out = files.create(target, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+def _read_text(spark: SparkSession, files, target) -> str:
+    stream = files.open(target)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text
+
+
+def replace_files(df: DataFrame, path: str, old: Sequence[str] | None, own_dates: bool = False, partition: str | None = None) -> None:
+    """Write ``df`` as files that take the place of the files ``old``: of all of the table if None, or of those of the
+    dates that ``df`` has with ``own_dates``.  ``df`` may be computed from them.  One writer at a time."""
+    spark, label = df.sparkSession, uuid.uuid4().hex
+    finish_replacement(spark, path)
+    files, root = _files(spark, path)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    for status in files.listStatus(root) if files.exists(root) else []:
+        if status.getPath().getName().startswith(_NEW):  # of a writer that broke off before its record
+            files.delete(status.getPath(), True)
+    new = path_of(root, f"{_NEW}{label}")
+    writer = df.write.partitionBy(partition) if partition else df.write
+    writer.parquet(new.toString())
+    if own_dates:
+        folders = [s.getPath().getName() for s in files.listStatus(new) if s.isDirectory()]
+        old = [f for name in folders for f in _data_files(files, path_of(root, name))]
+    elif old is None:
+        old = _data_files(files, root)
+    draft = path_of(root, f"{_NEW}{label}.json")
+    _write_text(files, draft, json.dumps({"new": new.toString(), "old": list(old)}))
+    files.rename(draft, path_of(root, f"{_RECORD}{label}.json"))
+    finish_replacement(spark, path)
+
+
+def finish_replacement(spark: SparkSession, path: str) -> None:
+    """Finish the switch of every record there is.  Each step can be done again, by several at once too."""
+    files, root = _files(spark, path)
+    if not files.exists(root):
+        return
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    for status in files.listStatus(root):
+        record = status.getPath()
+        if not record.getName().startswith(_RECORD):
+            continue
+        plan = json.loads(_read_text(spark, files, record))
+        new = path_of(plan["new"])
+        for file in _data_files(files, new):
+            folder = path_of(file).getParent()
+            target = root if folder.getName() == new.getName() else path_of(root, folder.getName())
+            files.mkdirs(target)
+            files.rename(path_of(file), path_of(target, path_of(file).getName()))
+        folders = set()
+        for file in plan["old"]:
+            files.delete(path_of(file), False)
+            folders.add(path_of(file).getParent().toString())
+        for folder in folders - {root.toString()}:
+            left = path_of(folder)
+            if left.getName() != root.getName() and files.exists(left) and not _data_files(files, left):
+                files.delete(left, True)
+        files.create(path_of(root, "_SUCCESS"), True).close()
+        files.delete(new, True)
+        files.delete(record, False)
+
+
+def _schema_file(spark: SparkSession, path: str):
+    return _files(spark, f"{path}/_schema.json")
+
+
 def _keep_schema(df: DataFrame, path: str) -> None:
     """Beside the data, since a date-partitioned table without rows has no file to infer it from."""
     fields = sorted(df.schema.fields, key=lambda f: f.name == PARTITION)  # as the table is read: dates last
     files, target = _schema_file(df.sparkSession, path)
-    out = files.create(target, True)
-    out.write(bytearray(StructType(fields).json(), "utf-8"))
-    out.close()
+    _write_text(files, target, StructType(fields).json())
 
 
 def read_by_date(spark: SparkSession, path: str) -> DataFrame:
     """Scan of a table, with the schema it was written with if that is known."""
+    finish_replacement(spark, path)
     files, target = _schema_file(spark, path)
     if not files.exists(target):
         return spark.read.parquet(path)
-    stream = files.open(target)
-    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
-    schema = StructType.fromJson(json.loads(text))
+    schema = StructType.fromJson(json.loads(_read_text(spark, files, target)))
     return spark.read.schema(schema).parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
     """Full refresh of an unpartitioned table; adaptive execution already sizes its tasks."""
-    df.write.mode("overwrite").parquet(path)
+    replace_files(df, path, None)
 
 
 def write_clustered(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = True) -> None:
