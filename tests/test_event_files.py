@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eventmart.operators import loads
 from eventmart.operators.ranking import head_sample_profile
-from eventmart.plans.ingest import ingest_files
+from eventmart.plans.ingest import ingest_files, read_audit
 from eventmart.plans.pipeline import date_state
 from eventmart.plans.staging import staging_events
 from eventmart.sources.event_files import event_lines, flatten_events, parse_lines, reject_bad_lines, scan_event_files
@@ -193,3 +193,27 @@ def test_nothing_after_an_event_gets_in(spark):
     parsed = parse_lines(spark.createDataFrame([(line, "f") for line in lines], "value string, source_file string")).collect()
     assert [r["reject_reason"] for r in parsed] == [None] * 4 + ["malformed"] * len(rests)
     assert {r["event"]["id"] for r in parsed[:4]} == {"1"}
+
+
+def test_a_broken_file_does_not_end_the_load(spark, tmp_path):
+    landing, raw, audit = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "audit")
+    landing.mkdir()
+    line = '{"id":"%d","type":"PushEvent","created_at":"2026-04-16T%02d:00:00Z"}'
+    for hour in range(5):
+        text = "\n".join([line % (10 * hour + i, hour) for i in range(hour + 1)] + ["junk"] * (hour == 2))
+        whole = gzip.compress(text.encode())
+        (landing / f"2026-04-16-{hour}.json.gz").write_bytes(whole[: len(whole) // 2] if hour == 3 else b"no gzip" if hour == 1 else whole)
+    with pytest.raises(Exception, match="2026-04-16-[13].json.gz"):
+        ingest_files(spark, str(landing), raw, "2026-04-16 12:00:00")
+    for _ in range(2):  # again: the same outcome, appended
+        done = ingest_files(spark, str(landing), raw, "2026-04-16 12:00:00", audit_path=audit)
+        assert (done.rows_inserted, done.rows_failed, done.success) == (9, 1, False)
+    rows = read_audit(spark, audit).collect()
+    assert len(rows) == 10
+    found = {r["source_file"][11:12]: (r["rows_inserted"], r["rows_failed"], r["success"]) for r in rows}
+    assert found == {"0": (1, 0, True), "1": (0, 0, False), "2": (3, 1, True), "3": (0, 0, False), "4": (5, 0, True)}
+    assert all((r["error"] is None) == r["success"] and r["duration_seconds"] > 0 for r in rows)
+    summary = loads.load_summary(read_audit(spark, audit).dropDuplicates(["source_file"])).first()
+    assert (summary["hours_processed"], summary["hours_failed"], summary["total_rows_inserted"]) == (3, 2, 9)
+    only_broken = ingest_files(spark, str(landing / "2026-04-16-1.json.gz"), raw, audit_path=str(tmp_path / "second"))
+    assert (only_broken.rows_inserted, only_broken.success) == (0, False)
