@@ -76,17 +76,17 @@ ORACLES = {
     """,
     "op9_vector_search": """
         with whole as (
-            select distinct vec_id, [floor(1024 * c::double)::bigint for c in embedding] as x
+            select row_number() over () as n, vec_id, [floor(1024 * c::double)::bigint for c in embedding] as x
             from embeddings
             where vec_id is not null and embedding is not null
                 and len([c for c in embedding if c is not null and isfinite(c)]) = len(embedding)
         ), scored as (
-            select q.vec_id as query_id, v.vec_id as vec_id,
-                list_sum([q.x[i] * v.x[i] for i in range(1, len(q.x) + 1)])::bigint as score
-            from whole q join whole v on q.vec_id % 100 = 0 and q.vec_id <> v.vec_id and len(q.x) = len(v.x)
+            select q.n, q.vec_id as query_id, v.vec_id as vec_id,
+                coalesce(list_sum([q.x[i] * v.x[i] for i in range(1, len(q.x) + 1)]), 0)::bigint as score
+            from whole q join whole v on q.vec_id % 100 = 0 and q.n <> v.n and len(q.x) = len(v.x)
         )
         select query_id, rank::int as rank, vec_id, score from (
-            select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+            select *, row_number() over (partition by n order by score desc, vec_id) as rank from scored
         ) where rank <= 10
     """,
     "op12_hard_negatives": """

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -27,6 +27,7 @@ VECTOR_BLOCK = 16_384
 QUERY_BLOCK = 512
 RESOLUTIONS = (4, 16)
 _EXACT = float(1 << 52)
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 
 
 def _statistics(rows: np.ndarray, segments: int) -> np.ndarray:
@@ -44,42 +45,45 @@ def _ceilings(queries: np.ndarray, vectors: np.ndarray, slack: np.ndarray) -> np
     return queries @ vectors.T + slack[:, None]
 
 
-def block_top(q_ids, queries, v_ids, vectors, k: int, resolutions=RESOLUTIONS):
-    """Best ``k`` vectors of a block for each query of a block: query, vector and score arrays."""
+def block_top(q_rows, queries, v_rows, v_ids, vectors, k: int, resolutions=RESOLUTIONS):
+    """Best ``k`` vectors of a block for each query row of a block: query row, vector and score arrays."""
     out_q, out_v, out_s = [], [], []
-    if not len(v_ids) or not len(q_ids):
+    if not len(v_ids) or not len(q_rows):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     order = np.argsort(v_ids, kind="stable")
-    v_ids, vectors = v_ids[order], vectors[order]
+    v_rows, v_ids, vectors = v_rows[order], v_ids[order], vectors[order]
     dim = max(1, vectors.shape[1])
-    small = np.abs(queries).max(initial=0) * np.abs(vectors).max(initial=0) * dim < _EXACT
     q, v = queries.astype(np.float64), vectors.astype(np.float64)
+    small = np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * dim < _EXACT
+    # beyond that, whole numbers of any size; no bounds, as their rounding would have to be bounded too
     exact = (q, v) if small else (queries.astype(object), vectors.astype(object))
     slack = 1 + 1e-9 * np.sqrt((q * q).sum(axis=1) * (v * v).sum(axis=1).max(initial=0))
-    levels = [(_statistics(q, r), _statistics(v, r)) for r in resolutions if vectors.shape[1]]
+    levels = [(_statistics(q, r), _statistics(v, r)) for r in resolutions if vectors.shape[1]] if small else []
     coarse = _ceilings(*levels[0], slack) if levels else np.zeros((len(q), len(v)))
-    for i in range(len(q_ids)):
-        own = v_ids != q_ids[i]
+    for i in range(len(q_rows)):
+        own = v_rows != q_rows[i]
         n = int(own.sum())
         if not n:
             continue
-        ceiling = np.where(own, coarse[i], -np.inf)
         best = min(k, n)
-        tried = np.argpartition(-ceiling, best - 1)[:best]
-        floor = min(exact[1][tried] @ exact[0][i])
-        left = np.flatnonzero((ceiling >= floor) & own)
-        for q_level, v_level in levels[1:]:
-            left = left[v_level[left] @ q_level[i] + slack[i] >= floor]
-        scores = exact[1][left] @ exact[0][i]
-        top = left[np.lexsort((v_ids[left], -scores))[:best]] if small else None
-        if top is None:
-            ranked = sorted(range(len(left)), key=lambda j: (-scores[j], v_ids[left[j]]))[:best]
-            top, scores = left[ranked], [scores[j] for j in ranked]
+        if not small:
+            places = np.flatnonzero(own)
+            scores = [min(_MOST, max(_LEAST, int(s))) for s in exact[1][places] @ exact[0][i]]
+            ranked = sorted(range(n), key=lambda j: (-scores[j], v_ids[places[j]]))[:best]
+            top, found = places[ranked], [scores[j] for j in ranked]
         else:
-            scores = exact[1][top] @ exact[0][i]
-        out_q.append(np.full(len(top), q_ids[i]))
+            ceiling = np.where(own, coarse[i], -np.inf)
+            tried = np.argpartition(-ceiling, best - 1)[:best]
+            floor = min(exact[1][tried] @ exact[0][i])
+            left = np.flatnonzero((ceiling >= floor) & own)
+            for q_level, v_level in levels[1:]:
+                left = left[v_level[left] @ q_level[i] + slack[i] >= floor]
+            scores = exact[1][left] @ exact[0][i]
+            ranked = np.lexsort((v_ids[left], -scores))[:best]
+            top, found = left[ranked], [int(s) for s in scores[ranked]]
+        out_q.append(np.full(len(top), q_rows[i]))
         out_v.append(v_ids[top])
-        out_s.append(np.array([int(s) for s in scores], np.int64))
+        out_s.append(np.array(found, np.int64))
     empty = np.zeros(0, np.int64)
     return np.concatenate([empty, *out_q]), np.concatenate([empty, *out_v]), np.concatenate([empty, *out_s])
 
@@ -90,60 +94,50 @@ def _stacked(column: pd.Series) -> np.ndarray:
 
 def top_k(
     vectors: DataFrame,
-    queries: DataFrame,
+    is_query: Column,
     k: int = 10,
     scale: int = SCALE,
     vector_block: int = VECTOR_BLOCK,
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
-    """``(vec_id, embedding)`` tables to query, rank (from 1), vec_id, score: the k best per query.
+    """``(vec_id, embedding)`` to query, rank (from 1), vec_id, score: the k best other rows for each query row.
 
-    Components become ``floor(scale * x)``; the score is their integer inner product, ties go to the lesser
-    vec_id.  A vector that is null, holds a null or non-finite component or has no id takes no part; only
-    vectors of a query's own length are its candidates, never a row of the query's own id.  Of rows that
-    repeat an id and vector one counts.  Tables without usable rows give none.
+    ``is_query`` is a condition on vec_id.  Components become ``floor(scale * x)``; the score is their integer inner
+    product, ties go to the lesser vec_id.  A vector that is null, holds a null or non-finite component or has no id
+    takes no part; only vectors of a query's own length are its candidates.  Every row stands for itself: rows that
+    repeat an id are asked and found one by one, and a query row finds all rows but itself.  Whole components and
+    scores beyond a long count as the long nearest to them.  Tables without usable rows give none.
     """
-    spark = vectors.sparkSession
-
-    def usable(df: DataFrame) -> DataFrame:
-        x = F.col("embedding").cast("array<double>")
-        finite = F.forall(x, lambda c: c.isNotNull() & (F.abs(c) < F.lit(float("inf"))))
-        kept = df.select("vec_id", x.alias("embedding")).filter("vec_id is not null and embedding is not null").filter(
-            F.coalesce(finite, F.lit(False))
-        )
-        whole = kept.select("vec_id", F.transform("embedding", lambda c: F.floor(c * scale)).alias("x"))
-        return whole.withColumn("dim", F.size("x"))
-
-    candidates = stage(usable(vectors).distinct(), "vectors")
-    asked = stage(usable(queries).distinct(), "queries")
-    sizes = candidates.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
-    query_sizes = asked.groupBy("dim").agg(F.count(F.lit(1)).alias("m"))
+    x = F.col("embedding").cast("array<double>")
+    finite = F.forall(x, lambda c: c.isNotNull() & (F.abs(c) < F.lit(float("inf"))))
+    kept = vectors.filter("vec_id is not null and embedding is not null").filter(F.coalesce(finite, F.lit(False)))
+    whole = kept.select(F.col("vec_id").cast("long"), F.transform(x, lambda c: F.floor(c * scale)).alias("x"))
+    numbered = whole.withColumns({"dim": F.size("x"), "row": F.monotonically_increasing_id(), "asked": F.coalesce(is_query, F.lit(False))})
+    candidates = stage(numbered, "vectors")
+    # read apart, or the two sides of the cogroup would be one to the analyzer
+    asked = vectors.sparkSession.read.schema(candidates.schema).parquet(candidates.staged_path).filter("asked")
     blocks = F.broadcast(
-        sizes.join(query_sizes, "dim").select(
-            "dim",
-            F.ceil(F.col("n") / vector_block).cast("int").alias("v_blocks"),
-            F.ceil(F.col("m") / query_block).cast("int").alias("q_blocks"),
-        )
+        candidates.groupBy("dim").agg(
+            F.ceil(F.count(F.lit(1)) / vector_block).cast("int").alias("v_blocks"),
+            F.ceil(F.count_if("asked") / query_block).cast("int").alias("q_blocks"),
+        ).filter("q_blocks > 0")
     )
 
     def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
         """A random block of its own kind for each row, and a copy of it for every block of the other."""
-        placed = df.join(blocks, "dim").withColumn(own, F.pmod(F.xxhash64("vec_id"), F.col(f"{own}s")).cast("int"))
+        placed = df.join(blocks, "dim").withColumn(own, F.pmod(F.xxhash64("row"), F.col(f"{own}s")).cast("int"))
         return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
 
-    left = dealt(asked, "q_block", "v_block").select("dim", "q_block", "v_block", F.col("vec_id").alias("query"), "x")
-    right = dealt(candidates, "v_block", "q_block").select("dim", "q_block", "v_block", "vec_id", "x")
     keys = ["dim", "q_block", "v_block"]
+    left = dealt(asked, "q_block", "v_block").select(*keys, "row", "x")
+    right = dealt(candidates, "v_block", "q_block").select(*keys, "row", "vec_id", "x")
 
     def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        found = block_top(
-            q["query"].to_numpy(np.int64), _stacked(q["x"]), v["vec_id"].to_numpy(np.int64), _stacked(v["x"]), k
-        )
-        return pd.DataFrame(dict(zip(("query", "vec_id", "score"), found, strict=True)))
-
-    met = (
-        left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query long, vec_id long, score long")
-    )
-    order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc("vec_id"))
-    ranked = met.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query", "rank", "vec_id", "score")
+        rows, found_rows, ids = q["row"].to_numpy(np.int64), v["row"].to_numpy(np.int64), v["vec_id"].to_numpy(np.int64)
+        found = block_top(rows, _stacked(q["x"]), found_rows, ids, _stacked(v["x"]), k)
+        return pd.DataFrame(dict(zip(("row", "vec_id", "score"), found, strict=True)))
+
+    met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "row long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), F.asc("vec_id"))
+    ranked = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.join(asked.select("row", F.col("vec_id").alias("query")), "row").select("query", "rank", "vec_id", "score")

@@ -292,9 +292,21 @@ def test_vector_blocks(spark):
     rows = [(i, [float(x) for x in rng.normal(size=24).round(2)]) for i in range(400)] + [(1000 + i, [0.5] * 24) for i in range(50)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     whole = {i: np.floor(1024 * np.array(x)).astype(int) for i, x in rows}
-    found = vector_search.top_k(df, df.filter("vec_id % 50 = 0"), 5, vector_block=64, query_block=4).collect()
+    found = vector_search.top_k(df, F.col("vec_id") % 50 == 0, 5, vector_block=64, query_block=4).collect()
     want = set()
     for q in [i for i in whole if i % 50 == 0]:
         best = sorted((-int(whole[q] @ x), i) for i, x in whole.items() if i != q)[:5]
         want |= {(q, n, i, -s) for n, (s, i) in enumerate(best, 1)}
     assert {tuple(r) for r in found} == want
+
+
+def test_vectors_by_row_and_beyond_a_long(spark):
+    rows = [(0, [1e12, 1e12]), (1, [2e12, 1.0]), (2, [-3e12, 5.0]), (0, [1.0, 1.0]), (0, [1.0, 1.0]), (4, [1e300, -1e300]), (5, [0.5, 0.25])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    clamp = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+    whole = [(i, [clamp(int(np.floor(1024 * c))) for c in x]) for i, x in rows]
+    want = []
+    for n, (q, x) in enumerate(whole):
+        best = sorted((-clamp(sum(a * b for a, b in zip(x, y, strict=True))), i) for m, (i, y) in enumerate(whole) if m != n)[:3]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1) if q == 0]
+    assert sorted(tuple(r) for r in vector_search.top_k(df, F.col("vec_id") == 0, 3).collect()) == sorted(want)

@@ -106,9 +106,9 @@ def test_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [nan, 0.0]), (4, [inf, 0.0]), (5, [None, 1.0]), (6, None)]
     rows += [(7, [1.0, 0.0, 0.0]), (None, [5.0, 5.0]), (1, [1.0, 0.0]), (8, []), (9, [-1.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("dim", F.lit("x"))
-    found = vector_search.top_k(df, df.filter("vec_id in (0, 3, 6, 7, 8)"), k=2)
-    assert [tuple(r) for r in found.orderBy("query", "rank").collect()] == [(0, 1, 1, 1 << 20), (0, 2, 2, 1 << 20)]
-    assert vector_search.top_k(df.limit(0), df).collect() == []
+    found = vector_search.top_k(df, F.col("vec_id").isin(0, 3, 6, 7, 8), k=2)
+    assert [tuple(r) for r in found.orderBy("query", "rank").collect()] == [(0, 1, 1, 1 << 20), (0, 2, 1, 1 << 20)]  # the row that repeats vector 1 is a candidate of its own
+    assert vector_search.top_k(df.limit(0), F.lit(True)).collect() == []
 
 
 def test_urls(spark):
