@@ -43,6 +43,11 @@ def _instant(as_of: dt.date | str) -> dt.datetime:
     return as_of.replace(tzinfo=dt.UTC) if as_of.tzinfo is None else as_of.astimezone(dt.UTC)
 
 
+def utc_day(as_of: AsOf = None) -> dt.date:
+    """The reference date on the driver."""
+    return (dt.datetime.now(dt.UTC) if as_of is None else _instant(as_of)).date()
+
+
 def as_of_date(as_of: AsOf = None) -> Column:
     """The reference date as a literal (foldable, so date filters still prune partitions)."""
     return utc_date(F.current_timestamp()) if as_of is None else F.lit(_instant(as_of).date())

@@ -9,12 +9,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import as_of_date, as_of_timestamp, utc_date
 from ..functions.calendar import AsOf
 from ..schemas import RAW_REQUIRED
+from ..sources.tables import finish_replacement, replace_files
 from .joins import orphan_values
 
 # --- failing-row predicates -------------------------------------------------------------------
@@ -214,6 +215,51 @@ def run_checks(suites: Sequence[Suite]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Columns that stored failing rows go without, so that testing a table does not read them.
+LEFT_OUT = ("payload",)
+_FAILURES = "row string, test string"
+_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timeZone": "UTC"}
+
+
+def failing_rows(suites: Sequence[Suite], left_out: Sequence[str] = LEFT_OUT) -> DataFrame:
+    """``row`` (JSON) and ``test`` for every failing row of every test, one scan per table for its row-level tests; a row
+    that fails several is there for each."""
+
+    def as_json(columns):
+        return F.to_json(F.struct(*columns), _JSON).alias("row")
+
+    parts = []
+    for suite in suites:
+        if suite.rows:
+            failed = F.array_compact(F.array(*[F.when(p, f"{suite.table}.{n}") for n, p in suite.rows.items()]))
+            failing = suite.df.filter(reduce(lambda a, b: a | b, suite.rows.values()))
+            shown = [c for c in suite.df.columns if c not in left_out]
+            parts.append(failing.select(as_json(shown), F.explode(failed).alias("test")))
+        for name, failing in suite.single().items():
+            parts.append(failing.select(as_json(failing.columns), F.lit(f"{suite.table}.{name}").alias("test")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def store_layer(suites: Sequence[Suite], path: str) -> None:
+    """Run all tests of a layer once: the table of failing rows at ``path``, a folder per failing test, is what their
+    counts come from."""
+    replace_files(failing_rows(suites), path, None, partition="test")
+
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The failing rows that ``store_layer`` left; a filter on ``test`` prunes folders."""
+    finish_replacement(spark, path)
+    return spark.read.schema(_FAILURES).parquet(path)
+
+
+def stored_counts(suites: Sequence[Suite], path: str) -> DataFrame:
+    """(test, failures) for every test, 0 included, from the stored rows."""
+    spark = suites[0].df.sparkSession
+    names = spark.createDataFrame([(f"{s.table}.{n}",) for s in suites for n in s.names()], "test string")
+    counted = stored_rows(spark, path).groupBy("test").agg(F.count("*").alias("failures"))
+    return names.join(counted, "test", "left").select("test", F.coalesce("failures", F.lit(0)).alias("failures"))
+
+
 class QualityGateError(RuntimeError):
     """Raised when a gated layer has failing tests."""
 

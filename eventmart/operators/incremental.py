@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import as_of_date
-from ..functions.calendar import AsOf
+from ..functions import as_of_date, as_of_timestamp
+from ..functions.calendar import AsOf, utc_day
 from ..schemas import INCREMENTAL_FLOOR
 from ..sources.manifest import LoadManifest
 from ..sources.tables import date_folders, delete_folder
@@ -62,12 +62,12 @@ def expire_partitions(df: DataFrame, keep_days: int | None, as_of: AsOf = None)
 
 
 def drop_expired_partitions(
-    spark: SparkSession, path: str, keep_days: int | None, as_of: dt.date | None = None
+    spark: SparkSession, path: str, keep_days: int | None, as_of: AsOf = None
 ) -> list[dt.date]:
     """Delete the table's expired date folders; returns their dates.  No data is read or moved."""
     if keep_days is None:
         return []
-    cutoff = (as_of or dt.date.today()) - dt.timedelta(days=keep_days)
+    cutoff = utc_day(as_of) - dt.timedelta(days=keep_days)
     expired = {date: folder for date, folder in date_folders(spark, path).items() if date < cutoff}
     for folder in expired.values():
         delete_folder(spark, folder)
@@ -77,12 +77,19 @@ def drop_expired_partitions(
     return sorted(expired)
 
 
-def snapshot_merge(snapshot: DataFrame | None, source: DataFrame, key: str, updated_at: str) -> DataFrame:
+def snapshot_merge(
+    snapshot: DataFrame | None,
+    source: DataFrame,
+    key: str,
+    updated_at: str,
+    close_missing: bool = False,
+    as_of: AsOf = None,
+) -> DataFrame:
     """Type-2 history by the timestamp strategy.
 
     ``source`` is the current state, one row per key.  A key whose ``updated_at`` advanced closes its
-    open version and opens a new one; keys missing from the source stay open.  ``valid_to`` is NULL
-    on the open version.  One join on the unique key, no per-key window.
+    open version and opens a new one; keys missing from the source stay open, or are closed as of ``as_of`` with
+    ``close_missing``.  ``valid_to`` is NULL on the open version.  One join on the unique key, no per-key window.
     """
     columns = source.columns
     opened = source.select(
@@ -95,9 +102,10 @@ def snapshot_merge(snapshot: DataFrame | None, source: DataFrame, key: str, upda
     arriving = opened.select(F.struct(*opened.columns).alias("new"))
     old, new = F.col("old"), F.col("new")
     changed = new[updated_at] > old[updated_at]
-    kept = F.when(
-        old.isNotNull(), old.withField("valid_to", F.when(changed, new[updated_at]))
-    )
+    closing = F.when(changed, new[updated_at])
+    if close_missing:
+        closing = closing.when(new.isNull(), as_of_timestamp(as_of))
+    kept = F.when(old.isNotNull(), old.withField("valid_to", closing))
     added = F.when(new.isNotNull() & (old.isNull() | changed), new)
     versions = current.join(arriving, old[key] == new[key], "full_outer").select(
         F.explode(F.array_compact(F.array(kept, added))).alias("version")

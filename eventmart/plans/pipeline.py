@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import AsOf
-from ..operators.checks import quality_gate, run_checks, source_freshness
-from ..operators.incremental import incremental_filter
+from ..operators.checks import Suite, quality_gate, source_freshness, store_layer, stored_counts
+from ..operators.distinct_states import add_numbers, daily_bitmaps
+from ..operators.incremental import drop_expired_partitions, incremental_filter
 from ..sources.manifest import LoadManifest
 from ..sources.raw_events import scan_raw
 from ..sources.scratch import staged
@@ -24,6 +25,7 @@ from ..sources.seeds import event_categories
 from ..sources.tables import Warehouse, date_folders, delete_folder, write_by_date, write_clustered, write_table
 from . import marts, staging
 from .quality_suites import marts_suites, reference_suite, source_suite, staging_suites
+from .snapshots import build_snapshots
 
 RAW_TABLE = "raw.github_events"
 STAGING = ["stg_actors", "stg_repositories", "stg_organizations"]
@@ -49,6 +51,9 @@ def _together(*builds: Callable[[], None]) -> None:
 
 
 ACTIVITY = "staging.activity_days"
+#: Numbers of the entities, and per day the numbers seen (operators.distinct_states).
+ENTITY_NUMBERS = "staging.entity_numbers"
+DAILY_BITMAPS = "staging.daily_bitmaps"
 #: The number of the last note of the raw table's manifest that a finished build has seen.
 BUILD_PROGRESS = "staging.build_progress"
 #: Instead of that, for a raw table without a manifest: a checksum per date.
@@ -165,6 +170,16 @@ def build_staging(
     _together(*[partial(build, model) for model in STAGING], seed)
 
 
+def build_bitmaps(
+    warehouse: Warehouse, mode: str = "full", lookback_days: int = 7, dates: list[dt.date] | None = None
+) -> None:
+    """Bitmaps of the entities that each day has seen, in full or for some dates, from the activity days."""
+    days, write_mode = _pending(warehouse, DAILY_BITMAPS, warehouse.read(ACTIVITY), mode, lookback_days, dates)
+    numbers = add_numbers(warehouse.spark, days, warehouse.path(ENTITY_NUMBERS))
+    _drop_emptied(warehouse, DAILY_BITMAPS, dates, days)
+    write_by_date(daily_bitmaps(days, numbers), warehouse.path(DAILY_BITMAPS), write_mode)
+
+
 def build_fact(
     warehouse: Warehouse,
     run_at: AsOf = None,
@@ -214,9 +229,9 @@ def build_marts(
     _together(*[partial(build_daily, name) for name in DAILY])
 
 
-def check_staging(
+def staging_tests(
     spark: SparkSession, warehouse: Warehouse, as_of: AsOf = None, dates: list[dt.date] | None = None
-) -> DataFrame:
+) -> list[Suite]:
     """Tests of the raw rows (of ``dates``, if given: the others were tested when they were built) and of staging."""
     read = warehouse.read
     raw = scan_raw(spark, warehouse.path(RAW_TABLE))
@@ -225,20 +240,18 @@ def check_staging(
     suites = staging_suites(
         read("staging.stg_github_events"), *[read(f"staging.{n}") for n in STAGING], as_of=as_of
     )
-    return run_checks([source_suite(raw), *suites])
+    return [source_suite(raw), *suites]
 
 
-def check_marts(warehouse: Warehouse) -> DataFrame:
+def marts_tests(warehouse: Warehouse) -> list[Suite]:
     read = warehouse.read
-    return run_checks(
-        marts_suites(read("marts.fct_github_events"), *[read(f"marts.{n}") for n in DIMENSIONS + DAILY])
-    )
+    return marts_suites(read("marts.fct_github_events"), *[read(f"marts.{n}") for n in DIMENSIONS + DAILY])
 
 
-def check_references(warehouse: Warehouse) -> DataFrame:
+def reference_tests(warehouse: Warehouse) -> list[Suite]:
     """Orphan tests, as warnings."""
     read = warehouse.read
-    return run_checks([reference_suite(read("marts.fct_github_events"), *[read(f"marts.{n}") for n in DIMENSIONS])])
+    return [reference_suite(read("marts.fct_github_events"), *[read(f"marts.{n}") for n in DIMENSIONS])]
 
 
 def build_all(
@@ -249,6 +262,9 @@ def build_all(
     mode: str = "touched",
     lookback_days: int = 7,
     gate: bool = True,
+    keep_days: int | None = None,
+    snapshots: bool = False,
+    bitmaps: bool = False,
 ) -> DataFrame:
     """Build everything from ``raw.github_events``; returns (table_name, row_count).
 
@@ -257,17 +273,27 @@ def build_all(
     checksums over all of it, if it was written without one); ``full`` rebuilds; ``lookback`` builds the newest ``lookback_days`` dates again;
     ``strict`` rebuilds staging and adds only new dates to the marts.  With ``gate``, a stale source
     or a failing staging test stops the build before the marts, and a failing mart test raises at the
-    end.
+    end; failing rows and counts are in ``test_results.<layer>_failures`` and ``_summary`` either way.
+
+    ``keep_days`` drops raw dates past retention first; with the manifest, the next ``touched`` build (this one too) drops
+    them from the models.  ``snapshots`` merges the tested entity models into their histories; ``bitmaps`` keeps
+    states of distinct counts per day (always, once there are some).
     """
+    if keep_days is not None:
+        drop_expired_partitions(spark, warehouse.path(RAW_TABLE), keep_days, as_of)
     if gate:
         if load_freshness(spark, warehouse, as_of).first()["status"] == "error":
             raise StaleSourceError("raw.github_events has not been loaded recently")
     dates, note_built = _to_build(spark, warehouse) if mode == "touched" else (None, None)
     build_staging(spark, warehouse, "full" if mode == "strict" else mode, lookback_days, dates)
-    _finish_layer(check_staging(spark, warehouse, as_of, dates), warehouse, "staging_summary", gate)
+    if bitmaps or warehouse.exists(DAILY_BITMAPS):
+        build_bitmaps(warehouse, "full" if mode == "strict" else mode, lookback_days, dates)
+    _finish_layer(staging_tests(spark, warehouse, as_of, dates), warehouse, "staging", gate)
+    if snapshots:
+        build_snapshots(warehouse, as_of)
     build_marts(warehouse, run_at, mode, lookback_days, dates)
-    write_table(check_references(warehouse), warehouse.path("test_results.references_summary"))
-    _finish_layer(check_marts(warehouse), warehouse, "marts_summary", gate)
+    _finish_layer(reference_tests(warehouse), warehouse, "references", False)
+    _finish_layer(marts_tests(warehouse), warehouse, "marts", gate)
     if note_built:
         note_built()
     return table_counts(warehouse)
@@ -281,10 +307,13 @@ def load_freshness(spark: SparkSession, warehouse: Warehouse, as_of: AsOf = None
     return source_freshness(scan_raw(spark, warehouse.path(RAW_TABLE)), as_of=as_of)
 
 
-def _finish_layer(summary: DataFrame, warehouse: Warehouse, name: str, gate: bool) -> None:
-    write_table(summary, warehouse.path(f"test_results.{name}"))
+def _finish_layer(suites: list[Suite], warehouse: Warehouse, layer: str, gate: bool) -> None:
+    """Run a layer's tests: failing rows first, the counts from them."""
+    rows, counts = (warehouse.path(f"test_results.{layer}_{kind}") for kind in ("failures", "summary"))
+    store_layer(suites, rows)
+    write_table(stored_counts(suites, rows), counts)
     if gate:
-        quality_gate(warehouse.read(f"test_results.{name}"))
+        quality_gate(warehouse.read(f"test_results.{layer}_summary"))
 
 
 def table_counts(warehouse: Warehouse) -> DataFrame:

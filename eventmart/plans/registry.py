@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import as_of_timestamp, bucket, contributor_type, day_name, distinct_hours, is_bot, repo_owner, repo_slug, utc_date, utc_floor
-from ..operators import aggregates, checks, filters, incremental, joins, loads, ranking, upsert
+from ..operators import aggregates, checks, distinct_states, filters, incremental, joins, loads, ranking, upsert
 from ..schemas import (
     ACCEPTED_EVENT_TYPES,
     EVENTS,
@@ -23,11 +23,11 @@ from ..schemas import (
     REPO_COUNT_BUCKETS,
     REPOSITORY_TYPE_COLUMNS,
 )
-from ..sources import event_files, nested, tables
+from ..sources import event_files, lifecycle, nested, tables
 from ..sources.raw_events import raw_from_events, scan_raw
 from ..sources.scratch import new_folder
 from ..sources.seeds import event_categories
-from . import cards, ingest, marts, pipeline, quality_suites, staging
+from . import cards, ingest, marts, pipeline, quality_suites, snapshots, staging
 
 AS_OF = "2024-01-31"
 RELOAD_AT = "2024-02-01 00:00:00"
@@ -412,6 +412,34 @@ def _(d):
     return incremental.snapshot_merge(first, state(d.events), "actor_id", "updated_at")
 
 
+@query("snapshot_builds")
+def _(d):
+    """A stored history after three builds, each of whose states lacks the entities of other days: activity of a
+    repository by event type."""
+    path = d.new_folder("snapshot")
+    entity = F.concat_ws("/", F.coalesce("repo_id", F.lit("none")), "event_type")
+    builds = [(None, "2024-01-13", "2024-01-13"), ("2024-01-08", "2024-01-21", "2024-01-21"), ("2024-01-16", None, AS_OF)]
+    for first, end, built in builds:
+        events = _from(d.events, first) if first else d.events
+        events = _before(events, end) if end else events
+        state = events.groupBy(entity.alias("entity")).agg(F.count("*").alias("n_events"), F.max("created_at").alias("updated_at"))
+        snapshots.store_snapshot(d.spark, path, state, "entity", "updated_at", close_missing=True, as_of=built)
+    return snapshots.read_snapshot(d.spark, path)
+
+
+@query("partition_life_cycle")
+def _(d):
+    """Two loads into monthly partitions that keep 14 days, the first with the events of a broken clock as well."""
+    path, columns = d.new_folder("routed"), ["event_id", "event_type", "created_at", "event_date"]
+    epoch = F.timestamp_seconds(F.lit(0))
+    broken = d.raw.withColumns({"created_at": epoch, "event_date": utc_date(epoch)})
+    first = _before(d.raw, "2024-01-20").select(*columns).unionByName(broken.select(*columns))
+    for load, as_of in ((first, "2024-01-20"), (_from(d.raw, "2024-01-15").select(*columns), AS_OF)):
+        lifecycle.write_routed(load, path, "2023-07-01", "2024-06-01", 14, as_of)
+    schema = "event_id string, event_type string, created_at timestamp, event_date date"
+    return lifecycle.read_routed(d.spark, path, schema)
+
+
 # --- joins ----------------------------------------------------------------------------------------------
 
 
@@ -538,6 +566,25 @@ def _(d):
     )
 
 
+@query("distinct_counts_of_ranges")
+def _(d):
+    """Distinct entities of the last 7 and 30 days by event type and by kind of account, and over all, from the bitmaps
+    of two loads, the second of which brings some days again."""
+    warehouse = tables.Warehouse(d.spark, d.new_folder("warehouse"))
+    for rows in (_before(d.events, "2024-01-16"), _from(d.events, "2024-01-11")):
+        tables.write_by_date(staging.activity_days(rows), warehouse.path(pipeline.ACTIVITY), "replace_dates")
+        dates = [r[0] for r in warehouse.read(pipeline.ACTIVITY).select("event_date").distinct().collect()]
+        pipeline.build_bitmaps(warehouse, "touched", dates=dates)
+    parts = []
+    for days in (7, 30):
+        bitmaps = filters.trailing_days(warehouse.read(pipeline.DAILY_BITMAPS), days, AS_OF)
+        for by in ("event_type", "is_bot", None):
+            counts = distinct_states.distinct_counts(bitmaps, [by] if by else [])
+            value = F.col(by).cast("string") if by else F.lit("all")
+            parts.append(counts.select(F.lit(days).alias("days"), value.alias("part"), *distinct_states.MEASURES.values()))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("group_by_expression")
 def _(d):
     part_of_day = bucket("event_hour", [(18, "evening"), (12, "afternoon"), (6, "morning")], "night")
@@ -753,6 +800,21 @@ def _(d):
     return checks.run_checks([quality_suites.source_suite(d.raw), *suites])
 
 
+@query("stored_failures")
+def _(d):
+    """What a gated build leaves that its tests stop: the failing rows of each test."""
+    warehouse = tables.Warehouse(d.spark, d.new_folder("warehouse"))
+    tables.write_by_date(d.raw, warehouse.path(pipeline.RAW_TABLE))
+    try:
+        pipeline.build_all(d.spark, warehouse, "2024-01-25", AS_OF, mode="full")
+    except checks.QualityGateError as stopped:
+        failing = sorted(stopped.failures)
+    rows = checks.stored_rows(d.spark, warehouse.path("test_results.staging_failures"))
+    event = F.from_json("row", "event_id string, created_at timestamp, event_date date, is_bot boolean")
+    stopping = F.col("test").isin(failing).alias("stops_the_build")
+    return rows.select("test", event.alias("event"), stopping).select("test", "event.*", "stops_the_build")
+
+
 # --- load planning and audit ----------------------------------------------------------------------------
 
 

@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 
 PARTITION = "event_date"
 CLUSTERING = ["event_type", "repo_id", "actor_id"]
-LAYERS = ["raw", "staging", "marts", "seeds", "test_results"]
+LAYERS = ["raw", "staging", "marts", "seeds", "snapshots", "test_results"]
 
 
 def write_by_date(
@@ -113,6 +113,16 @@ def replace_files(df: DataFrame, path: str, old: Sequence[str] | None, own_dates
     finish_replacement(spark, path)
 
 
+def replace_partition(df: DataFrame, path: str, partition: str, value: str) -> None:
+    """Write ``df`` partitioned by a column: its rows take the place of the partition ``value`` and are added to the
+    others, by one switch.  ``df`` may be computed from the table."""
+    spark = df.sparkSession
+    finish_replacement(spark, path)
+    files, folder = _files(spark, f"{path}/{partition}={value}")
+    replace_files(df, path, _data_files(files, folder), partition=partition)
+    _keep_schema(df, path)
+
+
 def finish_replacement(spark: SparkSession, path: str) -> None:
     """Finish the switch of every record there is.  Each step can be done again, by several at once too."""
     files, root = _files(spark, path)

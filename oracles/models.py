@@ -26,6 +26,15 @@ from stg group by actor_id""",
     group_by_expression="""
 select ['night', 'morning', 'afternoon', 'evening'][event_hour // 6 + 1] as part_of_day, count(*) as events
 from stg group by event_hour // 6""",
+    distinct_counts_of_ranges="""
+, spans(days) as (values (7), (30)),
+seen as (select days, stg.* from stg join spans on event_date >= DATE '2024-01-31' - days),
+parts as (
+ select *, event_type as part from seen union all select *, cast(is_bot as varchar) from seen union all select *, 'all' from seen
+)
+select days, part, count(distinct actor_id) as unique_actors, count(distinct repo_id) as unique_repositories,
+ count(distinct org_id) as unique_organizations
+from parts group by days, part""",
     global_aggregate="""
 select count(*) as events, min(created_at) as first_event, max(created_at) as last_event,
  count(distinct actor_id) as actors, count(distinct event_hour) as hours

@@ -113,5 +113,11 @@ select * from t where days_since_latest > 7""",
 select *, case when age_seconds <= 10800 then 'pass' when age_seconds <= 21600 then 'warn' else 'error' end as status
 from t""",
     check_constraints=_CONSTRAINTS,
+    stored_failures="""
+select 'staging.stg_github_events.no_future_events' as test, event_id, created_at, event_date, is_bot, true as stops_the_build
+from stg where created_at > TIMESTAMP '2024-01-25 00:00:00'
+union all
+select 'staging.stg_github_events.between_created_at', event_id, created_at, event_date, is_bot, true
+from stg where created_at > TIMESTAMP '2024-01-26 00:00:00'""",
     quality_gate=_gate(),
 )

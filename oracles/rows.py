@@ -166,6 +166,38 @@ versions as (
 select *, updated_at as valid_from,
  lead(updated_at) over (partition by actor_id order by updated_at) as valid_to
 from versions""",
+    snapshot_builds="""
+, b(n, low, high, built) as (values
+ (1, DATE '2000-01-01', DATE '2024-01-13', TIMESTAMP '2024-01-13 00:00:00'),
+ (2, DATE '2024-01-08', DATE '2024-01-21', TIMESTAMP '2024-01-21 00:00:00'),
+ (3, DATE '2024-01-16', DATE '2100-01-01', TIMESTAMP '2024-01-31 00:00:00')
+),
+states as (
+ select n, concat(coalesce(repo_id, 'none'), '/', event_type) as entity, count(*) as n_events, max(created_at) as updated_at
+ from stg join b on event_date >= low and event_date < high group by all
+),
+grid as (
+ select k.entity, b.n, built, n_events, updated_at, lag(updated_at) over (partition by k.entity order by b.n) as before
+ from (select distinct entity from states) k cross join b left join states s on s.entity = k.entity and s.n = b.n
+),
+marked as (
+ select *, updated_at is not null and (before is null or updated_at > before) as opens,
+  before is not null and (updated_at is null or updated_at > before) as closes, coalesce(updated_at, built) as changed_at
+ from grid
+),
+versions as (
+ select entity, n_events, updated_at, updated_at as valid_from, opens,
+  min(case when closes then changed_at end) over (partition by entity order by n rows between 1 following and unbounded following) as valid_to
+ from marked
+)
+select * exclude (opens), valid_to is null as is_open from versions where opens""",
+    partition_life_cycle="""
+select event_id, event_type, created_at, event_date, '2024_01' as partition_name, event_date as partition_date
+from raw where event_date >= DATE '2024-01-17' and event_date < DATE '2024-01-20'
+union all
+select event_id, event_type, created_at, event_date, '2024_01', event_date from raw where event_date >= DATE '2024-01-17'
+union all
+select event_id, event_type, TIMESTAMP '1970-01-01 00:00:00', DATE '1970-01-01', 'default', null from raw""",
     merge_match="""
 select event_id, event_date from raw
 where event_date >= DATE '2024-01-10' and event_date < DATE '2024-01-20'""",
