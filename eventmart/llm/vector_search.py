@@ -6,25 +6,30 @@ A vector is cut into segments; from a segment's mean and deviation, squared dist
 are taken coarse to fine; only candidates that can still reach the k-th best exact score found so far are
 refined, and the survivors are scored exactly.
 
-Vectors and queries are cut into blocks; every task gets one block of each, so its memory is bounded
-whatever the size of the tables.  Block results (k per query and block) meet in a window per query.
+Vectors are dealt into blocks and move once; queries are copied to every block and streamed through it, so a
+task holds one block and one batch of queries whatever the size of the tables.  Block results (k per query and
+block) meet in a window per query.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
 
 SCALE = 1024
-#: Rows of a block of vectors, and of a block of queries.
+#: Rows of a block of vectors at most (and components, on average), and queries that are scored together.
 VECTOR_BLOCK = 16_384
+BLOCK_VALUES = 1 << 22
 QUERY_BLOCK = 512
+#: Rows of a block at least while there are no more blocks than shuffle partitions.
+LEAST_BLOCK = 1_024
 RESOLUTIONS = (4, 16)
 _EXACT = float(1 << 52)
 _LEAST, _MOST = -(1 << 63), (1 << 63) - 1
@@ -45,51 +50,88 @@ def _ceilings(queries: np.ndarray, vectors: np.ndarray, slack: np.ndarray) -> np
     return queries @ vectors.T + slack[:, None]
 
 
-def block_top(q_rows, queries, v_rows, v_ids, vectors, k: int, resolutions=RESOLUTIONS):
-    """Best ``k`` vectors of a block for each query row of a block: query row, vector and score arrays."""
-    out_q, out_v, out_s = [], [], []
-    if not len(v_ids) or not len(q_rows):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    order = np.argsort(v_ids, kind="stable")
-    v_rows, v_ids, vectors = v_rows[order], v_ids[order], vectors[order]
-    dim = max(1, vectors.shape[1])
-    q, v = queries.astype(np.float64), vectors.astype(np.float64)
-    small = np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * dim < _EXACT
-    # beyond that, whole numbers of any size; no bounds, as their rounding would have to be bounded too
-    exact = (q, v) if small else (queries.astype(object), vectors.astype(object))
-    slack = 1 + 1e-9 * np.sqrt((q * q).sum(axis=1) * (v * v).sum(axis=1).max(initial=0))
-    levels = [(_statistics(q, r), _statistics(v, r)) for r in resolutions if vectors.shape[1]] if small else []
-    coarse = _ceilings(*levels[0], slack) if levels else np.zeros((len(q), len(v)))
-    for i in range(len(q_rows)):
-        own = v_rows != q_rows[i]
-        n = int(own.sum())
-        if not n:
-            continue
-        best = min(k, n)
-        if not small:
-            places = np.flatnonzero(own)
-            scores = [min(_MOST, max(_LEAST, int(s))) for s in exact[1][places] @ exact[0][i]]
-            ranked = sorted(range(n), key=lambda j: (-scores[j], v_ids[places[j]]))[:best]
-            top, found = places[ranked], [scores[j] for j in ranked]
-        else:
+class Block:
+    """Vectors of one length with their statistics."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, resolutions=RESOLUTIONS):
+        order = np.argsort(ids, kind="stable")
+        self.rows, self.ids, self.whole = rows[order], ids[order], vectors[order]
+        self.floats = self.whole.astype(np.float64)
+        self.most = np.abs(self.floats).max(initial=0)
+        self.longest = (self.floats * self.floats).sum(axis=1).max(initial=0)
+        self.resolutions = resolutions if vectors.shape[1] else ()
+        self.levels = [_statistics(self.floats, r) for r in self.resolutions]
+
+    def best(self, q_rows: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, list[int]]]:
+        """For each query row the places and scores of its ``k`` best vectors of the block, itself left out."""
+        q = queries.astype(np.float64)
+        if np.abs(q).max(initial=0) * self.most * max(1, q.shape[1]) >= _EXACT:
+            yield from self._best_of_any_size(q_rows, queries, k)
+            return
+        slack = 1 + 1e-9 * np.sqrt((q * q).sum(axis=1) * self.longest)
+        levels = [_statistics(q, r) for r in self.resolutions]
+        coarse = _ceilings(levels[0], self.levels[0], slack) if levels else np.zeros((len(q), len(self.ids)))
+        for i in range(len(q)):
+            own = self.rows != q_rows[i]
+            best = min(k, int(own.sum()))
+            if not best:
+                yield np.zeros(0, np.int64), []
+                continue
             ceiling = np.where(own, coarse[i], -np.inf)
             tried = np.argpartition(-ceiling, best - 1)[:best]
-            floor = min(exact[1][tried] @ exact[0][i])
+            floor = (self.floats[tried] @ q[i]).min()
             left = np.flatnonzero((ceiling >= floor) & own)
-            for q_level, v_level in levels[1:]:
+            for q_level, v_level in zip(levels[1:], self.levels[1:], strict=True):
                 left = left[v_level[left] @ q_level[i] + slack[i] >= floor]
-            scores = exact[1][left] @ exact[0][i]
-            ranked = np.lexsort((v_ids[left], -scores))[:best]
-            top, found = left[ranked], [int(s) for s in scores[ranked]]
-        out_q.append(np.full(len(top), q_rows[i]))
-        out_v.append(v_ids[top])
-        out_s.append(np.array(found, np.int64))
-    empty = np.zeros(0, np.int64)
-    return np.concatenate([empty, *out_q]), np.concatenate([empty, *out_v]), np.concatenate([empty, *out_s])
+            scores = self.floats[left] @ q[i]
+            ranked = np.lexsort((self.ids[left], -scores))[:best]
+            yield left[ranked], [int(s) for s in scores[ranked]]
+
+    def _best_of_any_size(self, q_rows, queries, k):
+        """Whole numbers of any size; no bounds, as their rounding would have to be bounded too."""
+        vectors = self.whole.astype(object)
+        for row, query in zip(q_rows, queries.astype(object), strict=True):
+            places = np.flatnonzero(self.rows != row)
+            scores = [min(_MOST, max(_LEAST, int(s))) for s in vectors[places] @ query]
+            ranked = sorted(range(len(places)), key=lambda j: (-scores[j], self.ids[places[j]]))[:k]
+            yield places[ranked], [scores[j] for j in ranked]
+
 
+_FOUND = "row long, query long, vec_id long, score long"
 
-def _stacked(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.int64) if len(column) else np.zeros((0, 0), np.int64)
+
+def _scan(k: int, query_block: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (dim, block, asked, row, vec_id, x) sorted by block, vectors before queries, to each query's best per block."""
+    key, block, held = None, None, []
+    for batch in batches:
+        dims, numbers, asked, rows, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        if not len(dims):
+            continue
+        cuts = np.flatnonzero((np.diff(dims) != 0) | (np.diff(numbers) != 0) | (asked[1:] != asked[:-1])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(dims)], strict=True):
+            here = (int(dims[a]), int(numbers[a]))
+            if here != key:
+                key, block, held = here, None, []
+            x = batch.column(5).slice(a, b - a).flatten().to_numpy(zero_copy_only=False).reshape(b - a, key[0])
+            if not asked[a]:
+                held.append((rows[a:b], ids[a:b], x))
+                continue
+            if block is None:
+                if not held:
+                    continue
+                block, held = Block(*map(np.concatenate, zip(*held, strict=True))), []
+            for at in range(0, b - a, query_block):
+                part = slice(at, min(at + query_block, b - a))
+                names, queries, found, scores = [], [], [np.zeros(0, np.int64)], []
+                for row, name, (places, own) in zip(
+                    rows[a:b][part], ids[a:b][part], block.best(rows[a:b][part], x[part], k), strict=True
+                ):
+                    names.append(np.full(len(places), row, np.int64))
+                    queries.append(np.full(len(places), name, np.int64))
+                    found.append(block.ids[places])
+                    scores += own
+                columns = [np.concatenate(names), np.concatenate(queries), np.concatenate(found), np.array(scores, np.int64)]
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["row", "query", "vec_id", "score"])
 
 
 def top_k(
@@ -108,36 +150,24 @@ def top_k(
     repeat an id are asked and found one by one, and a query row finds all rows but itself.  Whole components and
     scores beyond a long count as the long nearest to them.  Tables without usable rows give none.
     """
+    spark = vectors.sparkSession
     x = F.col("embedding").cast("array<double>")
     finite = F.forall(x, lambda c: c.isNotNull() & (F.abs(c) < F.lit(float("inf"))))
     kept = vectors.filter("vec_id is not null and embedding is not null").filter(F.coalesce(finite, F.lit(False)))
     whole = kept.select(F.col("vec_id").cast("long"), F.transform(x, lambda c: F.floor(c * scale)).alias("x"))
     numbered = whole.withColumns({"dim": F.size("x"), "row": F.monotonically_increasing_id(), "asked": F.coalesce(is_query, F.lit(False))})
     candidates = stage(numbered, "vectors")
-    # read apart, or the two sides of the cogroup would be one to the analyzer
-    asked = vectors.sparkSession.read.schema(candidates.schema).parquet(candidates.staged_path).filter("asked")
-    blocks = F.broadcast(
-        candidates.groupBy("dim").agg(
-            F.ceil(F.count(F.lit(1)) / vector_block).cast("int").alias("v_blocks"),
-            F.ceil(F.count_if("asked") / query_block).cast("int").alias("q_blocks"),
-        ).filter("q_blocks > 0")
-    )
-
-    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-        """A random block of its own kind for each row, and a copy of it for every block of the other."""
-        placed = df.join(blocks, "dim").withColumn(own, F.pmod(F.xxhash64("row"), F.col(f"{own}s")).cast("int"))
-        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
-
-    keys = ["dim", "q_block", "v_block"]
-    left = dealt(asked, "q_block", "v_block").select(*keys, "row", "x")
-    right = dealt(candidates, "v_block", "q_block").select(*keys, "row", "vec_id", "x")
-
-    def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        rows, found_rows, ids = q["row"].to_numpy(np.int64), v["row"].to_numpy(np.int64), v["vec_id"].to_numpy(np.int64)
-        found = block_top(rows, _stacked(q["x"]), found_rows, ids, _stacked(v["x"]), k)
-        return pd.DataFrame(dict(zip(("row", "vec_id", "score"), found, strict=True)))
-
-    met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "row long, vec_id long, score long")
+    n, values = candidates.agg(F.count(F.lit(1)), F.coalesce(F.sum("dim"), F.lit(0))).first()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, -(-n // vector_block), -(-values // BLOCK_VALUES), min(partitions, -(-n // LEAST_BLOCK)))
+
+    held = candidates.withColumns({"block": F.pmod(F.xxhash64("row"), F.lit(blocks)), "asked": F.lit(False)})
+    sent = candidates.filter("asked").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    columns = ["dim", "block", "asked", "row", "vec_id", "x"]
+    rows = held.select(*columns).unionByName(sent.select(*columns))
+    # blocks are dealt in turn, so that no task gets many while others get none
+    placed = rows.repartitionById(min(blocks, partitions), F.pmod("block", F.lit(min(blocks, partitions))).cast("int"))
+    met = placed.sortWithinPartitions(*columns[:4]).mapInArrow(partial(_scan, k, query_block), _FOUND)
     order = Window.partitionBy("row").orderBy(F.desc("score"), F.asc("vec_id"))
     ranked = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.join(asked.select("row", F.col("vec_id").alias("query")), "row").select("query", "rank", "vec_id", "score")
+    return ranked.select("query", "rank", "vec_id", "score")
