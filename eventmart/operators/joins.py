@@ -86,8 +86,12 @@ def join_dimension(df: DataFrame, dimension: DataFrame, key: str, columns: Seque
 
 
 def event_category_lookup(df: DataFrame, categories: DataFrame) -> DataFrame:
-    """Left-join the fifteen-row category lookup; unknown types get NULLs."""
-    return df.join(F.broadcast(categories), "event_type", "left")
+    """Left-join the category lookup; unknown types get NULLs.
+
+    Fifteen rows are broadcast by their known size; a lookup from a larger file is broadcast only if that file is
+    below ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    return df.join(categories, "event_type", "left")
 
 
 def orphan_values(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

@@ -143,8 +143,9 @@ def build_staging(
     mode: str = "full",
     lookback_days: int = 7,
     dates: list[dt.date] | None = None,
+    categories_csv: str | None = None,
 ) -> None:
-    """Staged events and their activity days, in full or for some dates, and the three entity models.
+    """Staged events and their activity days, in full or for some dates, the three entity models and the category lookup.
 
     Staging is row-wise over a date-partitioned table, so it is written without a shuffle.  The entity models merge
     the activity days of all dates; of the events, only the dates that are built are read.
@@ -165,7 +166,7 @@ def build_staging(
         write_table(getattr(staging, model)(days), warehouse.path(f"staging.{model}"))
 
     def seed() -> None:
-        write_table(event_categories(spark), warehouse.path("seeds.event_type_categories"))
+        write_table(event_categories(spark, categories_csv), warehouse.path("seeds.event_type_categories"))
 
     _together(*[partial(build, model) for model in STAGING], seed)
 
@@ -265,6 +266,7 @@ def build_all(
     keep_days: int | None = None,
     snapshots: bool = False,
     bitmaps: bool = False,
+    categories_csv: str | None = None,
 ) -> DataFrame:
     """Build everything from ``raw.github_events``; returns (table_name, row_count).
 
@@ -277,7 +279,8 @@ def build_all(
 
     ``keep_days`` drops raw dates past retention first; with the manifest, the next ``touched`` build (this one too) drops
     them from the models.  ``snapshots`` merges the tested entity models into their histories; ``bitmaps`` keeps
-    states of distinct counts per day (always, once there are some).
+    states of distinct counts per day (always, once there are some).  ``categories_csv`` is a file or folder that the
+    executors can read; without it the lookup is the built-in one.
     """
     if keep_days is not None:
         drop_expired_partitions(spark, warehouse.path(RAW_TABLE), keep_days, as_of)
@@ -285,7 +288,7 @@ def build_all(
         if load_freshness(spark, warehouse, as_of).first()["status"] == "error":
             raise StaleSourceError("raw.github_events has not been loaded recently")
     dates, note_built = _to_build(spark, warehouse) if mode == "touched" else (None, None)
-    build_staging(spark, warehouse, "full" if mode == "strict" else mode, lookback_days, dates)
+    build_staging(spark, warehouse, "full" if mode == "strict" else mode, lookback_days, dates, categories_csv)
     if bitmaps or warehouse.exists(DAILY_BITMAPS):
         build_bitmaps(warehouse, "full" if mode == "strict" else mode, lookback_days, dates)
     _finish_layer(staging_tests(spark, warehouse, as_of, dates), warehouse, "staging", gate)

@@ -95,8 +95,8 @@ where total_events <= 0 or unique_repositories <= 0""",
 select event_id, event_date, ingested_at as created_at, cast(ingested_at as date) as created_date
 from raw where event_date <> cast(ingested_at as date)""",
     test_no_orphans="""
-select cast(c_custkey as varchar) as actor_id, count(*) as orphan_rows from customer
-where c_custkey is not null and cast(c_custkey as varchar) not in (select actor_id from stg_a) group by c_custkey""",
+select actor_id, count(*) as orphan_rows from raw
+where actor_id is not null and actor_id not in (select cast(s_suppkey as varchar) from supplier) group by actor_id""",
     test_recency="""
 , t as (
  select max(created_at) as latest_timestamp,

@@ -218,9 +218,8 @@ select repo_id, dim_r.repo_name, count(*) as current_events from fact join dim_r
 where event_date >= DATE '2024-01-24' group by all""",
     join_first_activity="""
 select distinct actor_id, event_date, min(event_date) over (partition by actor_id) as first_seen from stg""",
-    anti_join_orphans="""
-select cast(c_custkey as varchar) as actor_id, c_nationkey from customer
-where cast(c_custkey as varchar) not in (select actor_id from stg_a)""",
+    anti_join_orphans=f"""
+select {SHOWN} from raw where actor_id not in (select cast(s_suppkey as varchar) from supplier)""",
     event_category_lookup=f"""
 select event_id, raw.event_type, category, is_code_change
 from raw left join (select * from {_SEEDS}) s on s.event_type = raw.event_type""",

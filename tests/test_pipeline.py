@@ -168,3 +168,12 @@ def test_stream_loads_only_new_files(spark, data, tmp_path, rows):
 def test_lines_of_a_hot_file_are_not_lost(spark, data):
     lines = event_lines(data.raw.withColumn("source_file", F.lit("2024-01-01-0.json.gz")))
     assert lines.count() == data.raw.count()
+
+
+def test_categories_come_from_a_csv_file(spark, data, tmp_path):
+    warehouse, csv = Warehouse(spark, str(tmp_path / "warehouse")), tmp_path / "categories.csv"
+    csv.write_text("event_type,category,description,is_code_change\nPushEvent,code,Pushes,true\nNewEvent,other,,false\n")
+    load(spark, warehouse, data.raw)
+    pipeline.build_staging(spark, warehouse, categories_csv=str(csv))
+    found = warehouse.read("seeds.event_type_categories").orderBy("event_type").collect()
+    assert [tuple(r) for r in found] == [("NewEvent", "other", None, False), ("PushEvent", "code", "Pushes", True)]
