@@ -135,7 +135,8 @@ def test_substrings(spark, shard_slices):
 def test_decontamination_in_shards(spark, texts):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     items = [(r["item_id"], decontamination.words_of(r["text"].encode())) for r in bench.collect()]
-    shards = decontamination.load_items(bench, shard_words=100)
+    automata = decontamination.build_shards(bench, shard_words=100, piece_words=7)
+    shards = decontamination.load_shards(automata, 0, 1000)
     assert len(shards) > 3
     for text in list(texts.values())[:60]:
         words = decontamination.words_of(text.encode())
@@ -151,6 +152,17 @@ def test_decontamination_in_shards(spark, texts):
         assert (mask.tolist(), names) == (hit, found)
 
 
+def test_decontamination_in_passes(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = docs.unionByName(docs.limit(20)).unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string")))
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet").limit(30)
+    for operator in (decontamination.contamination, decontamination.remove_benchmark):
+        once, often = operator(docs, bench), operator(docs, bench, shard_words=300, pass_shards=2)
+        assert "__row" in often._jdf.queryExecution().toString() and "__row" not in once._jdf.queryExecution().toString()
+        assert oracle.spark_table(often) == oracle.spark_table(once)
+    assert decontamination.contamination(docs, bench).filter("contaminated").count()
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = QUERIES["op1_language_id"](spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id")
