@@ -204,6 +204,25 @@ def test_unexpected_dates_and_retention_at_the_sink(spark, make_raw, tmp_path):
     assert len(list((tmp_path / "routed/partition_name=default").iterdir())) == 1  # no folder per junk date
 
 
+def test_large_partition_from_one_task_is_cut(spark, tmp_path, monkeypatch):
+    """Rows of a broken clock in one map task: its output for one key cannot be split, so the key must be."""
+    monkeypatch.setattr(lifecycle, "PIECE_ROWS", 100, raising=False)
+    path, merging = str(tmp_path / "routed"), "spark.sql.adaptive.coalescePartitions.enabled"
+    date = F.when(F.col("id") < 50, F.lit("2024-01-09")).when(F.col("id") < 1900, F.lit("1970-01-01")).cast("date")
+    rows = spark.range(0, 2000, 1, 1).select(F.col("id").cast("string").alias("event_id"), date.alias("event_date"))
+    before = spark.conf.get(merging)
+    spark.conf.set(merging, "false")  # few rows as these would be put together again
+    try:
+        lifecycle.write_routed(rows, path, "2023-01-01", "2024-06-01", 30, "2024-01-10")
+    finally:
+        spark.conf.set(merging, before)
+    found = lifecycle.read_routed(spark, path, "event_id string, event_date date")
+    assert sorted(int(r[0]) for r in found.select("event_id").collect()) == list(range(2000))
+    files = found.groupBy("partition_name", F.input_file_name()).count().collect()
+    assert [r["count"] for r in files if r["partition_name"] == "2024_01"] == [50]
+    assert max(r["count"] for r in files) < 1000
+
+
 def test_builds_with_retention(spark, data, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     upsert_raw(spark, warehouse.path(pipeline.RAW_TABLE), data.raw.select(*FLAT_COLUMNS), "2024-01-30 23:00:00")
