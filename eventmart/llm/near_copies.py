@@ -1,8 +1,9 @@
-"""Near copies by the Jaccard similarity of five-word shingles, each link verified on the whole texts.
+"""Near copies by the Jaccard similarity of five-word shingles, found by SimHash and an inverted index over byte positions.
 
-Candidates share one of ``BANDS`` keys made of ``ROWS`` minima of hashed shingles; two texts at 0.8 share
-none with a chance of about 0.0004.  Within a list of texts with the same key, a SimHash of 256 bits orders
-the pairs: short lists give every pair within ``FAR`` bits, longer ones a minimum spanning forest, which
+A text's SimHash has ``WORDS`` words of 64 bits.  As in op2 it is posted under choices of its byte positions with the bytes
+there, here ``BANDS`` pairs of positions; candidates share a posting list.  Two texts at 0.8 differ in about 15 % of the
+bits, so they share no list with a chance of about 0.0003.  The first ``_WORDS`` words also give the distance of the texts
+of a list: short lists give every pair within ``FAR`` bits, longer ones a minimum spanning forest, which
 at every distance connects what all pairs within that distance connect, with fewer links than texts.
 Lists over ``BLOCK`` are cut into blocks whose pairs go to many tasks.  Every pair found is then compared
 shingle by shingle, so that a link is never wrong; the hashed shingles of a text that is in any pair are computed and
@@ -31,9 +32,10 @@ from .components import connected_components
 SHINGLE_WORDS = 5
 #: Least similarity of a link, as a fraction.
 SIMILARITY = (4, 5)
-BANDS, ROWS = 20, 5
-#: Bits of 256 in which candidates may differ; two texts at 0.8 differ in about 39.
-FAR = 80
+#: Words of 64 bits of a SimHash, and pairs of its byte positions that it is posted under.
+WORDS, BANDS = 16, 128
+#: Bits of the first 128 in which candidates may differ; two texts at 0.8 differ in about 19 of them (deviation 4).
+FAR = 37
 #: Lists up to this length give all their pairs.
 SHORT = 16
 #: Texts of other groups that the second pass compares a text of a longer list to, and the factor for each further pass.
@@ -43,12 +45,14 @@ BLOCK = 2048
 SEED = 42
 #: Pairs per text for which one copy of the text is sent.
 _PAIRS_A_COPY = 64
-_SLICE = 1 << 12
-_WORDS = 4
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+#: Pairs that a task hands on at a time.
+_PAIRS_OUT = 1 << 16
+#: Shingles whose bits are counted in one byte each.
+_SLICE = 255
+_WORDS = 2
 _RNG = np.random.default_rng(SEED)
-_TIMES = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _RNG.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+_ODD = _RNG.integers(0, 1 << 63, (2, WORDS), np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACES = np.concatenate([_RNG.permutation(8 * WORDS).reshape(-1, 2) for _ in range(BANDS // (4 * WORDS))])
 
 
 def shingles(data: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
@@ -69,32 +73,56 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return both * under >= (len(a) + len(b) - both) * over
 
 
-def sketch(own: np.ndarray) -> np.ndarray:
-    """Keys of the bands, then the SimHash, of a set of shingles."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    counts = np.zeros(64 * _WORDS, np.int64)
+def simhash(own: np.ndarray) -> np.ndarray:
+    """Words of the SimHash of a set of shingles."""
+    counts = np.zeros(64 * WORDS, np.int64)
     for at in range(0, len(own), _SLICE):
         part = own[at : at + _SLICE]
-        mixed = part[:, None] * _TIMES + _PLUS
-        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0))
-        bits = (part[:, None] ^ (part[:, None] >> np.uint64(29))) * _ODD
-        bits = (bits ^ (bits >> np.uint64(32))) * _ODD[::-1]
+        bits = (part[:, None] ^ (part[:, None] >> np.uint64(29))) * _ODD[0]
+        bits = (bits ^ (bits >> np.uint64(32))) * _ODD[1]
         bits ^= bits >> np.uint64(29)
-        counts += np.unpackbits(bits.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-    keys = [xxhash.xxh64_intdigest(x.tobytes(), i) for i, x in enumerate(least.reshape(BANDS, ROWS))]
-    return np.concatenate((np.array(keys, np.uint64), np.packbits(counts * 2 > len(own)).view(np.uint64)))
+        counts += np.unpackbits(bits.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(own)).view(np.uint64)
+
+
+def places(prints: np.ndarray) -> np.ndarray:
+    """The posting lists of rows of words: number of the pair of byte positions, then the bytes there."""
+    found = prints.view(np.uint8).reshape(len(prints), 8 * WORDS)[:, _PLACES].astype(np.uint64)
+    return (np.arange(BANDS, dtype=np.uint64) << np.uint64(16)) | (found[..., 0] << np.uint64(8)) | found[..., 1]
+
+
+def sketch(own: np.ndarray) -> np.ndarray:
+    """Posting lists, then the words that distances are taken of, of a set of shingles."""
+    words = simhash(own)
+    return np.concatenate((places(words[None])[0], words[:_WORDS]))
 
 
-_KEYS = [f"k{i}" for i in range(BANDS)]
 _BITS = [f"s{i}" for i in range(_WORDS)]
 
 
-def _sketch_udf():
-    @F.arrow_udf(", ".join(f"{c} long" for c in [*_KEYS, *_BITS]))
+def _simhash_udf():
+    @F.arrow_udf("binary")
     def of(texts: pa.Array) -> pa.Array:
-        rows = [sketch(shingles(t or b"")) for t in as_bytes(texts)]
-        table = np.array(rows, np.uint64).reshape(len(rows), BANDS + _WORDS).view(np.int64)
-        return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(x)) for x in table.T], names=[*_KEYS, *_BITS])
+        return pa.array([simhash(shingles(t or b"")).tobytes() for t in as_bytes(texts)], pa.binary())
+
+    return of
+
+
+def _places_udf():
+    @F.arrow_udf("array<long>")
+    def of(prints: pa.Array) -> pa.Array:
+        words = np.frombuffer(b"".join(prints.to_pylist()), np.uint64).reshape(len(prints), WORDS)
+        offsets = pa.array(np.arange(len(prints) + 1, dtype=np.int32) * BANDS)
+        return pa.ListArray.from_arrays(offsets, pa.array(places(words).view(np.int64).ravel()))
+
+    return of
+
+
+def _bits_udf():
+    @F.arrow_udf(", ".join(f"{c} long" for c in _BITS))
+    def of(prints: pa.Array) -> pa.Array:
+        words = np.frombuffer(b"".join(prints.to_pylist()), np.int64).reshape(len(prints), WORDS)
+        return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(words[:, i])) for i in range(_WORDS)], names=_BITS)
 
     return of
 
@@ -110,8 +138,9 @@ def _shingles_udf():
 def _similar_udf():
     @F.arrow_udf("boolean")
     def of(left: pa.Array, right: pa.Array) -> pa.Array:
-        pairs = zip(as_bytes(left), as_bytes(right), strict=True)
-        return pa.array([similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in pairs], pa.bool_())
+        pairs = zip(left, right, strict=True)  # sets are looked at where they lie
+        sets = ([np.frombuffer(x.as_buffer(), np.uint64) for x in pair] for pair in pairs)
+        return pa.array([similar(a, b) for a, b in sets], pa.bool_())
 
     return of
 
@@ -141,35 +170,40 @@ def spanning_forest(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def _first_pairs(root: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (_all_pairs if len(bits) <= SHORT else spanning_forest)(bits)
+def _first_pairs(root: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    yield (_all_pairs if len(bits) <= SHORT else spanning_forest)(bits)
 
 
-def _more_pairs(nearest: int, root: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def _more_pairs(nearest: int, root: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     _, group, sizes = np.unique(root, return_inverse=True, return_counts=True)
     if len(sizes) > 1:
         for at in np.flatnonzero(group != sizes.argmax()):
             near = np.bitwise_count(bits ^ bits[at]).sum(axis=1, dtype=np.int64)
             others = np.flatnonzero((near <= FAR) & (group != group[at]))
             own = others[np.argsort(near[others], kind="stable")[:nearest]]
-            left.append(np.full(len(own), at))
-            right.append(own)
-    return np.concatenate(left), np.concatenate(right)
+            yield np.full(len(own), at), own
 
 
 def _scan(find, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of cells (key, i, j, node, root, bits), sorted, to candidate pairs."""
+    """Rows of cells (key, i, j, node, root, bits), sorted, to candidate pairs, some _PAIRS_OUT of them at a time."""
 
-    def pairs(rows: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    def pairs(rows: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        left, right, n = [], [], 0
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if b - a < 2:
                 continue
             node, bits = rows[a:b, 3], np.ascontiguousarray(rows[a:b, 5:]).view(np.uint64)
-            x, y = find(rows[a:b, 4], bits)
-            left.append(np.minimum(node[x], node[y]))
-            right.append(np.maximum(node[x], node[y]))
+            for x, y in find(rows[a:b, 4], bits):
+                left.append(np.minimum(node[x], node[y]))
+                right.append(np.maximum(node[x], node[y]))
+                n += len(x)
+                if n >= _PAIRS_OUT:
+                    yield batch_of(left, right)
+                    left, right, n = [], [], 0
+        if n:
+            yield batch_of(left, right)
+
+    def batch_of(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
         return pa.record_batch([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
 
     held: list[np.ndarray] = []
@@ -182,16 +216,17 @@ def _scan(find, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         rows = np.concatenate([*held, new])
         bounds = np.concatenate(([0], np.flatnonzero((np.diff(rows[:, :3], axis=0) != 0).any(axis=1)) + 1))
-        yield pairs(rows, bounds)
+        yield from pairs(rows, bounds)
         held = [rows[bounds[-1] :]]
     if held:
         rows = np.concatenate(held)
-        yield pairs(rows, np.array([0, len(rows)]))
+        yield from pairs(rows, np.array([0, len(rows)]))
 
 
 def candidates(nodes: DataFrame, block: int = BLOCK, find=_first_pairs) -> DataFrame:
-    """``node, root`` rows with keys and bits to distinct ``(a, b)`` pairs to be compared."""
-    postings = nodes.select("node", "root", *_BITS, F.explode(F.array(*_KEYS)).alias("key"))
+    """``node, root, print`` rows to distinct ``(a, b)`` pairs to be compared."""
+    told = nodes.select("node", "root", _bits_udf()("print").alias("s"), _places_udf()("print").alias("keys"))
+    postings = told.select("node", "root", "s.*", F.explode("keys").alias("key"))
     hot = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     hot = stage(hot.select("key", F.ceil(F.col("n") / block).alias("blocks")), "hot")
     cut = salted_join(postings, hot, ["key"], F.xxhash64("node"), "left") if hot.head(1) else postings.withColumn("blocks", F.lit(None).cast("long"))
@@ -245,11 +280,9 @@ def keep_one(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """Of each group of near copies only the row with the least doc_id (of repeated rows, one), all columns as
     they were.  A null doc_id is kept only if all ids of its group are null."""
     row = F.xxhash64("doc_id", "text")
-    marked = docs.select("doc_id", row.alias("row"), text_key().alias("node"), _sketch_udf()("text").alias("s"))
-    marked = marked.select("doc_id", "row", "node", "s.*")
+    marked = docs.select("doc_id", row.alias("row"), text_key().alias("node"), _simhash_udf()("text").alias("print"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    first = [F.first(c).alias(c) for c in [*_KEYS, *_BITS]]
-    nodes = stage(marked.groupBy("node").agg(F.min(place).alias("place"), *first), "nodes")
+    nodes = stage(marked.groupBy("node").agg(F.min(place).alias("place"), F.first("print").alias("print")), "nodes")
     pairs = stage(candidates(nodes.withColumn("root", F.col("node")), block), "pairs")
     sets = stage(_sets(pairs, nodes, docs.select(row.alias("row"), "text")), "shingles")
     rooted = nodes.join(sets.select("node"), "node").withColumn("root", F.col("node"))
