@@ -26,18 +26,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stage(df: DataFrame, label: str, drop: tuple[DataFrame, ...] = ()) -> DataFrame:
+#: Rows of an Arrow batch.
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Texts, and rows of a few numbers, of a batch.  Spark's 10,000 texts are some 35 MB, which the JVM and each Python
+#: worker hold several times over.
+TEXT_ROWS, NUMBER_ROWS = 512, 10_000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """From now on at most TEXT_ROWS rows at a time go to Python in this session, if nothing else is said."""
+    if not 0 < int(spark.conf.get(_ARROW_ROWS)) <= TEXT_ROWS:
+        spark.conf.set(_ARROW_ROWS, str(TEXT_ROWS))
+
+
+def stage(df: DataFrame, label: str, drop: tuple[DataFrame, ...] = (), batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and scan it from there: cuts lineage, survives lost executors.
 
-    ``drop``: staged tables that nothing reads any more once this one is written.
+    ``drop``: staged tables that nothing reads any more once this one is written.  ``batch_rows``: rows of its
+    Arrow batches.
     """
     spark, path = df.sparkSession, new_folder(df.sparkSession, label)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    own = {_CLEANUP: "true"} | ({_ARROW_ROWS: str(batch_rows)} if batch_rows else {})
+    before = {key: spark.conf.get(key, None) for key in own}
+    for key, value in own.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     for old in drop:
         delete_folder(spark, old.staged_path)
     found = spark.read.schema(df.schema).parquet(path)

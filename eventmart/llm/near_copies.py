@@ -3,16 +3,16 @@
 A text's SimHash has ``WORDS`` words of 64 bits.  As in op2 it is posted under choices of its byte positions with the bytes
 there, here ``BANDS`` pairs of positions; candidates share a posting list.  Two texts at 0.8 differ in about 15 % of the
 bits, so they share no list with a chance of about 0.0003.  The first ``_WORDS`` words also give the distance of the texts
-of a list: short lists give every pair within ``FAR`` bits, longer ones a minimum spanning forest, which
+of a list: short lists give every pair within ``FAR`` bits; longer ones give the texts that have another within ``FAR``
+bits, and those under the first ``EARLY`` choices also a minimum spanning forest, which
 at every distance connects what all pairs within that distance connect, with fewer links than texts.
 Lists over ``BLOCK`` are cut into blocks whose pairs go to many tasks.  Every pair found is then compared
-shingle by shingle, so that a link is never wrong; the hashed shingles of a text that is in any pair are computed and
-written once.  The bits are an estimate, and a tree edge that fails the comparison
-may have stood for one that would not; further passes therefore take the texts that are not linked
-to their list's largest group and compare each to its nearest texts of other groups, first ``NEAREST`` of them, then
-``WIDER`` times as many and so on, never a pair twice.  The last pass takes all of them, and none follows once a pass
-has nothing left to compare, so no two texts of a list within ``FAR`` bits stay apart uncompared.  A text without a
-pair in the first pass has none within ``FAR`` bits, so later passes only read those that had one.
+shingle by shingle, so that a link is never wrong; the hashed shingles of a text that is in any pair or long list are
+computed and written once.  The bits are an estimate, and a tree edge that fails the comparison
+may have stood for one that would not; so each long list that still holds more than one group gets the shingles of its
+texts, and the task that has it compares every text outside its largest group to all of other groups within ``FAR``
+bits.  Only links leave that task, fewer than the list has texts, so no two texts of a list within ``FAR`` bits stay
+apart uncompared although their pairs are never rows.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, salted_join, stage, text_key
+from .common import NUMBER_ROWS, as_bytes, salted_join, stage, text_key
 from .components import connected_components
 
 SHINGLE_WORDS = 5
@@ -37,9 +37,9 @@ WORDS, BANDS = 16, 128
 #: Bits of the first 128 in which candidates may differ; two texts at 0.8 differ in about 19 of them (deviation 4).
 FAR = 37
 #: Lists up to this length give all their pairs.
-SHORT = 16
-#: Texts of other groups that the second pass compares a text of a longer list to, and the factor for each further pass.
-NEAREST, WIDER = 256, 16
+SHORT = 10
+#: Pairs of byte positions, of BANDS, whose longer lists give links to start from.
+EARLY = 16
 #: Texts of a list that one task compares among each other.
 BLOCK = 2048
 SEED = 42
@@ -170,8 +170,16 @@ def spanning_forest(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def _first_pairs(root: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    yield (_all_pairs if len(bits) <= SHORT else spanning_forest)(bits)
+def _first_pairs(band: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs to be compared; of a longer list also the texts within FAR bits of another, each as a pair with itself."""
+    if len(bits) <= SHORT:
+        yield _all_pairs(bits)
+        return
+    x, y = spanning_forest(bits)
+    if band[0] < EARLY:
+        yield x, y
+    near = np.union1d(x, y)
+    yield near, near
 
 
 def _more_pairs(nearest: int, root: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -184,27 +192,32 @@ def _more_pairs(nearest: int, root: np.ndarray, bits: np.ndarray) -> Iterator[tu
             yield np.full(len(own), at), own
 
 
+_CELL = ["key", "i", "j"]
+
+
 def _scan(find, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of cells (key, i, j, node, root, bits), sorted, to candidate pairs, some _PAIRS_OUT of them at a time."""
+    """Rows of cells (key, i, j, node, band or root, bits), sorted, to pairs with their cell, some _PAIRS_OUT at a time."""
 
     def pairs(rows: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
-        left, right, n = [], [], 0
+        cell, left, right, n = [], [], [], 0
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if b - a < 2:
                 continue
             node, bits = rows[a:b, 3], np.ascontiguousarray(rows[a:b, 5:]).view(np.uint64)
             for x, y in find(rows[a:b, 4], bits):
+                cell.append(np.repeat(rows[a : a + 1, :3], len(x), axis=0))
                 left.append(np.minimum(node[x], node[y]))
                 right.append(np.maximum(node[x], node[y]))
                 n += len(x)
                 if n >= _PAIRS_OUT:
-                    yield batch_of(left, right)
-                    left, right, n = [], [], 0
+                    yield batch_of(cell, left, right)
+                    cell, left, right, n = [], [], [], 0
         if n:
-            yield batch_of(left, right)
+            yield batch_of(cell, left, right)
 
-    def batch_of(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+    def batch_of(cell: list[np.ndarray], left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+        columns = [*np.concatenate(cell).T, np.concatenate(left), np.concatenate(right)]
+        return pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in columns], names=[*_CELL, "a", "b"])
 
     held: list[np.ndarray] = []
     for batch in batches:
@@ -223,23 +236,29 @@ def _scan(find, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs(rows, np.array([0, len(rows)]))
 
 
-def candidates(nodes: DataFrame, block: int = BLOCK, find=_first_pairs) -> DataFrame:
-    """``node, root, print`` rows to distinct ``(a, b)`` pairs to be compared."""
-    told = nodes.select("node", "root", _bits_udf()("print").alias("s"), _places_udf()("print").alias("keys"))
-    postings = told.select("node", "root", "s.*", F.explode("keys").alias("key"))
+def candidates(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``node, print`` rows to ``key, i, j, a, b``: pairs to be compared, and where a is b, the texts of long lists
+    that have another within reach, each with its cell (a list, or two blocks of it)."""
+    told = nodes.select("node", _bits_udf()("print").alias("s"), _places_udf()("print").alias("keys"))
+    postings = told.select("node", "s.*", F.explode("keys").alias("key"))
     hot = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     hot = stage(hot.select("key", F.ceil(F.col("n") / block).alias("blocks")), "hot")
     cut = salted_join(postings, hot, ["key"], F.xxhash64("node"), "left") if hot.head(1) else postings.withColumn("blocks", F.lit(None).cast("long"))
     blocks = F.coalesce("blocks", F.lit(1).cast("long"))
     own = F.pmod(F.xxhash64("node", F.lit(7)), blocks)
     cells = (
-        cut.select("key", "node", "root", *_BITS, own.alias("own"), blocks.alias("blocks"))
+        cut.select("key", "node", *_BITS, own.alias("own"), blocks.alias("blocks"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", *_BITS)
+        .withColumn("i", F.least("own", "other"))
+        .withColumn("j", F.greatest("own", "other"))
+        .select(*_CELL, "node", F.shiftright("key", 16).alias("band"), *_BITS)
     )
-    keys = ["key", "i", "j"]
-    dealt = cells.repartition(*keys).sortWithinPartitions(*keys, "node")
-    return dealt.mapInArrow(partial(_scan, find), "a long, b long").distinct()
+    dealt = cells.repartition(*_CELL).sortWithinPartitions(*_CELL, "node")
+    return dealt.mapInArrow(partial(_scan, _first_pairs), "key long, i long, j long, a long, b long")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -247,7 +266,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     A text that is in many pairs is sent in several copies, so that its pairs go to many tasks.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    ends = _ends(pairs).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
     ways = stage(ends.select("node", F.ceil(F.col("n") / _PAIRS_A_COPY).alias("ways")), "ways")
     sent = sets.join(ways, "node").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)))
     for end, other in (("a", "b"), ("b", "a")):
@@ -259,9 +278,48 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.filter(_similar_udf()("of_a", "of_b")).select("a", "b")
 
 
-def _sets(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """``node, shingles`` of the texts in staged pairs, from ``row, text``; only the row that stands for a text is read."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
+def _cell_links(cell: pa.Table) -> pa.Table:
+    """``node, root, bits, shingles`` of a cell to links that connect what all its pairs within FAR bits connect."""
+    node, label = cell.column("node").to_numpy(), cell.column("root").to_numpy().copy()
+    bits = np.stack([cell.column(c).to_numpy() for c in _BITS], axis=1).view(np.uint64)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in cell.column("shingles")]
+    sizes = np.array([len(x) for x in sets])
+    ends = np.cumsum(sizes)
+    distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    own, (over, under) = np.zeros(len(distinct), bool), SIMILARITY
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for x, y in _more_pairs(len(node), label.copy(), bits):
+        y = y[label[y] != label[x]]  # not linked meanwhile
+        if not len(y):
+            continue
+        at = x[0]
+        mine = codes[ends[at] - sizes[at] : ends[at]]
+        own[mine] = True
+        seen = np.concatenate(([0], np.cumsum(own[codes])))
+        own[mine] = False
+        both = seen[ends[y]] - seen[ends[y] - sizes[y]]
+        y = y[both * under >= (sizes[at] + sizes[y] - both) * over]
+        groups, first = np.unique(label[y], return_index=True)
+        label[np.isin(label, groups)] = label[at]
+        left.append(np.full(len(first), node[at]))
+        right.append(node[y[first]])
+    return pa.table({"a": np.concatenate(left), "b": np.concatenate(right)})
+
+
+def within_lists(members: DataFrame, rooted: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between different groups of ``key, i, j, node`` cells; cells of one group are left out before shingles move."""
+    root = rooted.select("node", "root", _bits_udf()("print").alias("s")).select("node", "root", "s.*")
+    placed = stage(members.join(root, "node"), "members")
+    mixed = placed.groupBy(*_CELL).agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least != most")
+    open_cells = placed.join(mixed.select(*_CELL), _CELL)
+    told = sets.select(F.col("node").alias("__member"), "shingles")
+    whole = open_cells.join(told, F.col("node") == F.col("__member")).drop("__member")
+    return whole.groupBy(*_CELL).applyInArrow(_cell_links, "a long, b long").distinct()
+
+
+def _sets(ends: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, shingles`` of staged nodes, from ``row, text``; only the row that stands for a text is read."""
+    wanted = ends.distinct().join(nodes, "node")
     found = texts.join(wanted.select("node", F.col("place.row").alias("row")), "row")
     return found.dropDuplicates(["node"]).select("node", _shingles_udf()("text").alias("shingles"))
 
@@ -283,21 +341,14 @@ def keep_one(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     marked = docs.select("doc_id", row.alias("row"), text_key().alias("node"), _simhash_udf()("text").alias("print"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     nodes = stage(marked.groupBy("node").agg(F.min(place).alias("place"), F.first("print").alias("print")), "nodes")
-    pairs = stage(candidates(nodes.withColumn("root", F.col("node")), block), "pairs")
-    sets = stage(_sets(pairs, nodes, docs.select(row.alias("row"), "text")), "shingles")
+    found = stage(candidates(nodes, block), "candidates", batch_rows=NUMBER_ROWS)
+    pairs = stage(found.filter("a != b").select("a", "b").distinct(), "pairs")
+    members = found.filter("a = b").select(*_CELL, F.col("a").alias("node"))
+    ends = _ends(pairs).unionByName(members.select("node"))
+    sets = stage(_sets(ends, nodes, docs.select(row.alias("row"), "text")), "shingles")
     rooted = nodes.join(sets.select("node"), "node").withColumn("root", F.col("node"))
-    compared, nearest = pairs, 0
-    while True:
-        links = stage(verified(pairs, sets), "links")
-        rooted = stage(_joined(rooted, links), "rooted")
-        if nearest >= 2 * block:  # a cell has no more texts
-            break
-        nearest = min(nearest * WIDER, 2 * block) if nearest else NEAREST
-        pairs = candidates(rooted, block, partial(_more_pairs, nearest)).join(compared, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        if not pairs.head(1):
-            break
-        compared = compared.unionByName(pairs)
+    rooted = stage(_joined(rooted, stage(verified(pairs, sets), "links")), "rooted")
+    rooted = stage(_joined(rooted, stage(within_lists(members, rooted, sets), "links")), "rooted")
     root = rooted.select("node", "root")
     placed = nodes.select("node", "place").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = placed.groupBy("root").agg(F.min("place").alias("place"))
